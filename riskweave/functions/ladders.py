@@ -31,6 +31,14 @@ class Except:
 Test = str | Names | Except
 
 
+def _literal(value: str | None) -> str:
+    """A string literal; one parsed CASE text per ladder is far cheaper to build than its tree."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class Ladder:
     """``arms`` are tried in order; a NULL input takes ``if_null``, a leftover ``otherwise``."""
@@ -40,31 +48,31 @@ class Ladder:
     otherwise: str | None = None
     case_sensitive: bool = field(default=False, kw_only=True)
 
-    def column(self, text: Column, folded: Column | None = None) -> Column:
-        """The group of ``text``.
+    def column(self, text: str, folded: str | None = None) -> Column:
+        """The group of the text column named ``text``.
 
-        ``folded`` is ``lower(text)`` when the caller already has it as a column: folding once per
-        row instead of once per pattern is most of the cost of a long ladder.
+        ``folded`` names a column that holds ``lower(text)``: folding once per row instead of once
+        per pattern is most of the cost of a long ladder.
         """
         if self.case_sensitive:
             folded = text
-        elif folded is None:
-            folded = F.lower(text)
-        case = F.when(text.isNull(), F.lit(self.if_null))
+        folded = folded or f"lower({text})"
+        arms = [f"WHEN {text} IS NULL THEN {_literal(self.if_null)}"]
         for label, tests in self.arms:
-            hit = reduce(Column.__or__, [self._holds(t, text, folded) for t in tests])
-            case = case.when(hit, F.lit(label))
-        return case.otherwise(F.lit(self.otherwise))
+            hit = " OR ".join(self._holds(t, text, folded) for t in tests)
+            arms.append(f"WHEN {hit} THEN {_literal(label)}")
+        return F.expr(f"CASE {' '.join(arms)} ELSE {_literal(self.otherwise)} END")
 
-    def _holds(self, test: Test, text: Column, folded: Column) -> Column:
+    def _holds(self, test: Test, text: str, folded: str) -> str:
         if isinstance(test, Names):
-            return text.isin(*test.values)
+            return f"{text} IN ({', '.join(map(_literal, test.values))})"
         if isinstance(test, Except):
-            return folded.like(self._fold(test.pattern)) & ~folded.like(self._fold(test.unless))
-        return folded.like(self._fold(test))
+            wanted, unless = self._fold(test.pattern), self._fold(test.unless)
+            return f"({folded} LIKE {wanted} AND {folded} NOT LIKE {unless})"
+        return f"{folded} LIKE {self._fold(test)}"
 
     def _fold(self, pattern: str) -> str:
-        return pattern if self.case_sensitive else pattern.lower()
+        return _literal(pattern if self.case_sensitive else pattern.lower())
 
     def labels(self) -> list[str | None]:
         """Every value the column can take."""

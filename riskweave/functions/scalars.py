@@ -98,7 +98,7 @@ def match_status(c: Column) -> Column:
 
 def chrome_major(folded: Column) -> Column:
     """Major version after ``chrome `` in lower-cased text, NULL where there is none."""
-    return try_int(F.regexp_extract(folded, "chrome ([0-9]+)", 1))
+    return F.regexp_extract(folded, "chrome ([0-9]+)", 1).try_cast("bigint")
 
 
 def chrome_bucket(folded: Column, major: Column, buckets) -> Column:
