@@ -96,7 +96,7 @@ def match_status(c: Column) -> Column:
     )
 
 
-def chrome_major(folded: Column) -> Column:
+def chrome_major(folded: Column | str) -> Column:
     """Major version after ``chrome `` in lower-cased text, NULL where there is none."""
     return F.regexp_extract(folded, "chrome ([0-9]+)", 1).try_cast("bigint")
 

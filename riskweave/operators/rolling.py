@@ -15,14 +15,13 @@ Keys and days are matched null-safe: rows without a key form a group of their ow
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import scalars as X
+from .joins import attach
 
 N, TOTAL, FILLED = "_n", "_total", "_filled"
 
@@ -62,13 +61,6 @@ def _framed_rows(kind: str, frame: WindowSpec, amount: str) -> Column:
     raise ValueError(f"unknown rolling aggregate {kind!r}")
 
 
-def attach(df: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with the other columns of ``lookup``, which has one row per (NULL-able) key set."""
-    right = lookup.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in lookup.columns if c not in keys])
-    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return df.join(right, on, "left").drop(*[f"_r_{k}" for k in keys])
-
-
 def daily_lookup(df: DataFrame, key: str, frames: dict[str, tuple[str, int]], day: str = S.DAY,
                  amount: str = S.AMOUNT, strict: bool = False) -> DataFrame:
     """One row per (key, day) with every ``{name: (aggregate, days)}`` of ``frames``."""
