@@ -80,8 +80,12 @@ def no_signal(*cs: Column) -> Column:
 
 
 def try_int(c: Column) -> Column:
-    """Whole number in the text, NULL where there is none; fractions round half up."""
-    return F.round(c.try_cast("decimal(38,6)"), 0).try_cast("bigint")
+    """Whole number in the text, NULL where there is none; fractions round half up.
+
+    The pattern keeps junk away from the cast, whose failures are costly.
+    """
+    number = F.when(c.rlike(r"^\s*[+-]?[0-9]+([.][0-9]*)?\s*$"), c.try_cast("decimal(38,6)"))
+    return F.round(number, 0).try_cast("bigint")
 
 
 def screen_part(c: Column, n: int) -> Column:

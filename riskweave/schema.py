@@ -115,11 +115,23 @@ def v_columns(df_or_names: DataFrame | list[str]) -> list[str]:
     return [c for c in names if re.fullmatch(r"[Vv]\d+", c)]
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+}
+
+
+def _struct(columns: dict[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(c, _TYPES[kind]) for c, kind in columns.items()])
+
+
 def raw_transaction_schema(v_names: list[str] = ()) -> T.StructType:
     """Schema of the raw transaction table plus whatever V columns the source carries."""
-    types = {**_RAW_TRANSACTION_TYPES, **{v: "double" for v in v_names}}
-    return T.StructType([T.StructField(c, T.DataType.fromDDL(t)) for c, t in types.items()])
+    return _struct({**_RAW_TRANSACTION_TYPES, **{v: "double" for v in v_names}})
 
 
 def raw_identity_schema() -> T.StructType:
-    return T.StructType([T.StructField(c, T.DataType.fromDDL(t)) for c, t in _RAW_IDENTITY_TYPES.items()])
+    return _struct(_RAW_IDENTITY_TYPES)

@@ -13,6 +13,7 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"
 
 # one bit per kind of text seen in a column
 _WHOLE, _DECIMAL, _BOOLEAN, _TEXT = 1, 2, 4, 8
+_NAMED = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType()}
 
 
 def read_landing(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -42,32 +43,42 @@ def normalize_nulls(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> Dat
     )
 
 
-def infer_schema(df: DataFrame) -> T.StructType:
-    """Column types that every value of an all-text table fits: bigint, double, boolean or string.
+def column_catalog(df: DataFrame) -> DataFrame:
+    """Position, name, inferred type and number of values of every column of an all-text table.
 
-    One aggregate over the whole table with one bit mask per column; only the masks travel.
+    The type is the narrowest of bigint, double and boolean that every value fits, else string.
+    One aggregate over the whole table with a bit mask and a count per column; only those travel.
+    Patterns decide, not trial casts: a failed cast raises and discards an exception per value.
     """
-    def kind(c: str) -> str:
+    def profile(c: str) -> str:
         return (
-            f"bit_or(CASE WHEN `{c}` IS NULL THEN 0"
-            f" WHEN try_cast(`{c}` AS BIGINT) IS NOT NULL THEN {_WHOLE}"
-            f" WHEN try_cast(`{c}` AS DOUBLE) IS NOT NULL THEN {_DECIMAL}"
+            f"struct(bit_or(CASE WHEN `{c}` IS NULL THEN 0"
+            f" WHEN `{c}` RLIKE '^[+-]?[0-9]{{1,18}}$' THEN {_WHOLE}"
+            f" WHEN `{c}` RLIKE '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$' THEN {_DECIMAL}"
             f" WHEN lower(`{c}`) IN ('true', 'false') THEN {_BOOLEAN}"
-            f" ELSE {_TEXT} END) AS `{c}`"
+            f" ELSE {_TEXT} END) AS mask, count(`{c}`) AS n_values) AS `{c}`"
         )
 
-    masks = df.selectExpr(*[kind(c) for c in df.columns]).first()
-    named = {
-        _WHOLE: T.LongType(),
-        _DECIMAL: T.DoubleType(),
-        _WHOLE | _DECIMAL: T.DoubleType(),
-        _BOOLEAN: T.BooleanType(),
-    }
-    return T.StructType(
-        [T.StructField(c, named.get(mask, T.StringType())) for c, mask in zip(df.columns, masks)]
+    names = F.array(*[F.lit(c) for c in df.columns])
+    profiles = df.selectExpr(*[profile(c) for c in df.columns])
+    return profiles.unpivot([], df.columns, "column_name", "p").select(
+        F.array_position(names, F.col("column_name")).alias("ordinal"),
+        "column_name",
+        F.when(F.col("p.mask") == _WHOLE, "bigint")
+        .when(F.col("p.mask").isin(_DECIMAL, _WHOLE | _DECIMAL), "double")
+        .when(F.col("p.mask") == _BOOLEAN, "boolean")
+        .otherwise("string")
+        .alias("data_type"),
+        F.col("p.n_values").alias("n_values"),
     )
 
 
+def infer_schema(df: DataFrame) -> T.StructType:
+    """The schema :func:`column_catalog` finds."""
+    found = column_catalog(df).orderBy("ordinal").collect()
+    return T.StructType([T.StructField(r["column_name"], _NAMED[r["data_type"]]) for r in found])
+
+
 def load_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
     """``df`` in the shape of ``target``: columns matched by name regardless of case.
 
@@ -84,17 +95,3 @@ def load_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
             for f in target.fields
         ]
     )
-
-
-def column_catalog(df: DataFrame) -> DataFrame:
-    """Position, name, inferred type and number of values of every column of an all-text table."""
-    spark = df.sparkSession
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "n_values")
-    described = ", ".join(
-        f"({i}, '{f.name}', '{f.dataType.simpleString()}')" for i, f in enumerate(infer_schema(df).fields, start=1)
-    )
-    types = spark.sql(f"SELECT * FROM VALUES {described} AS c(ordinal, column_name, data_type)")
-    # bounded: one row per column
-    return counts.join(F.broadcast(types), "column_name").select(
-        "ordinal", "column_name", "data_type", "n_values"
-    )
