@@ -102,7 +102,9 @@ def match_status(c: Column) -> Column:
 
 def chrome_major(folded: Column | str) -> Column:
     """Major version after ``chrome `` in lower-cased text, NULL where there is none."""
-    return F.regexp_extract(folded, "chrome ([0-9]+)", 1).try_cast("bigint")
+    digits = F.regexp_extract(folded, "chrome ([0-9]+)", 1)
+    # the empty text of a miss must not reach the cast: a failed cast costs 30 times a good one
+    return F.nullif(digits, F.lit("")).try_cast("bigint")
 
 
 def chrome_bucket(folded: Column, major: Column, buckets) -> Column:

@@ -28,25 +28,34 @@ def _classes(label: str) -> dict[str, Column]:
     return {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)}
 
 
-def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
-    """Area under the ROC curve: the share of (fraud, legitimate) pairs ranked right, ties half.
+def areas(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
+    """``roc_auc`` and ``average_precision``, one row, from one pass.
 
-    Pairs are counted in whole numbers; NULL when a class is missing.
+    ROC-AUC is the share of (fraud, legitimate) pairs ranked right, ties half; pairs are counted
+    in whole numbers.  Average precision sums, over the thresholds, precision times the recall
+    gained there; nothing is interpolated.  NULL when a class is missing.
     """
-    rows = running_totals(df, score, _classes(label), **options)
-    # twice the pairs won: below counts double, tied once
-    below = (F.col("cum_neg") - F.col("neg")) * 2 + F.col("neg")
+    rows = running_totals(df, score, _classes(label), descending=True, **options)
+    # twice the pairs won at a score: legitimate rows below it count double, tied ones once
+    below = (F.col("total_neg") - F.col("cum_neg")) * 2 + F.col("neg")
     won = F.sum(F.col("pos").cast("decimal(19,0)") * below.cast("decimal(19,0)")).cast("double")
     pairs = F.max(F.col("total_pos").cast("double") * F.col("total_neg").cast("double") * 2)
-    return rows.agg(F.try_divide(won, pairs).alias("roc_auc"))
+    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    gained = F.sum(F.col("pos") * precision)
+    return rows.agg(
+        F.try_divide(won, pairs).alias("roc_auc"),
+        F.try_divide(gained, F.max("total_pos")).alias("average_precision"),
+    )
+
+
+def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
+    """Area under the ROC curve; see :func:`areas`."""
+    return areas(df, score, label, **options).select("roc_auc")
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
-    """Sum over thresholds of precision times the recall gained there (no interpolation)."""
-    rows = running_totals(df, score, _classes(label), descending=True, **options)
-    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    gained = F.sum(F.col("pos") * precision)
-    return rows.agg(F.try_divide(gained, F.max("total_pos")).alias("average_precision"))
+    """Step-wise area under the precision-recall curve; see :func:`areas`."""
+    return areas(df, score, label, **options).select("average_precision")
 
 
 def pr_curve(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
@@ -115,15 +124,15 @@ def confusion(df: DataFrame, t: float = 0.5, score: str = "score", label: str =
     )
 
 
-def _slot(score: Column, grid: list[float]) -> Column:
+def _slot(score: str, grid: list[float]) -> Column:
     """How many of the sorted thresholds the score reaches, by halving."""
-    def search(lo: int, hi: int) -> Column:
+    def search(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(score >= grid[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+        return f"CASE WHEN `{score}` >= {grid[mid]!r}D THEN {search(mid + 1, hi)} ELSE {search(lo, mid)} END"
 
-    return search(0, len(grid))
+    return F.expr(search(0, len(grid)))
 
 
 def cross_thresholds(
@@ -134,8 +143,8 @@ def cross_thresholds(
     Equal to testing each row against each threshold, but each row is placed once: the table
     shrinks to ``len(grid) + 1`` slots before anything is accumulated.
     """
-    grid = sorted(grid)
-    slots = df.groupBy(_slot(F.col(score), grid).alias("slot")).agg(
+    grid = sorted(map(float, grid))
+    slots = df.groupBy(_slot(score, grid).alias("slot")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     values = ", ".join(f"({i}, {t!r}D)" for i, t in enumerate(grid, start=1))

@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.scalars import predict_at, risk_tier
-from ..operators.evaluate import average_precision, roc_auc
+from ..operators.evaluate import areas
 from ..operators.rates import class_counts, label_mean, top, union_all
 from ..operators.selection import SplitPoint, split_point
+from ..session import cut_lineage
 
 # The training configuration of the two candidates.
 BOOSTING = {
@@ -179,12 +180,14 @@ def score(model, df: DataFrame) -> DataFrame:
 
 
 def compare(scored: dict[str, DataFrame]) -> DataFrame:
-    """ROC-AUC and average precision of every candidate."""
+    """ROC-AUC and average precision of every candidate.
+
+    Label and score are written once per candidate, so the trees run once and not once per job of
+    the evaluation.
+    """
     rows = []
     for position, (name, df) in enumerate(scored.items()):
-        metrics = roc_auc(df).withColumn("_k", F.lit(0)).join(
-            average_precision(df).withColumn("_k", F.lit(0)), "_k"
-        )
+        metrics = areas(cut_lineage(df.select(S.LABEL, "score")))
         rows.append(
             metrics.select(
                 F.lit(position).alias("position"), F.lit(name).alias("model"),

@@ -47,36 +47,37 @@ def column_catalog(df: DataFrame) -> DataFrame:
     """Position, name, inferred type and number of values of every column of an all-text table.
 
     The type is the narrowest of bigint, double and boolean that every value fits, else string.
-    One aggregate over the whole table with a bit mask and a count per column; only those travel.
+    Cells are summed up by column name inside the tasks to a bit mask and a count per column; only
+    those travel.  Turning cells into rows keeps the plan small for tables of hundreds of columns.
     Patterns decide, not trial casts: a failed cast raises and discards an exception per value.
     """
-    def profile(c: str) -> str:
-        return (
-            f"struct(bit_or(CASE WHEN `{c}` IS NULL THEN 0"
-            f" WHEN `{c}` RLIKE '^[+-]?[0-9]{{1,18}}$' THEN {_WHOLE}"
-            f" WHEN `{c}` RLIKE '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$' THEN {_DECIMAL}"
-            f" WHEN lower(`{c}`) IN ('true', 'false') THEN {_BOOLEAN}"
-            f" ELSE {_TEXT} END) AS mask, count(`{c}`) AS n_values) AS `{c}`"
-        )
-
     names = F.array(*[F.lit(c) for c in df.columns])
-    profiles = df.selectExpr(*[profile(c) for c in df.columns])
-    return profiles.unpivot([], df.columns, "column_name", "p").select(
+    cells = df.unpivot([], df.columns, "column_name", "value")
+    mask = F.expr(
+        f"CASE WHEN value IS NULL THEN 0"
+        f" WHEN value RLIKE '^[+-]?[0-9]{{1,18}}$' THEN {_WHOLE}"
+        f" WHEN value RLIKE '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$' THEN {_DECIMAL}"
+        f" WHEN lower(value) IN ('true', 'false') THEN {_BOOLEAN}"
+        f" ELSE {_TEXT} END"
+    )
+    profiles = cells.groupBy("column_name").agg(F.bit_or(mask).alias("mask"), F.count("value").alias("n_values"))
+    return profiles.select(
         F.array_position(names, F.col("column_name")).alias("ordinal"),
         "column_name",
-        F.when(F.col("p.mask") == _WHOLE, "bigint")
-        .when(F.col("p.mask").isin(_DECIMAL, _WHOLE | _DECIMAL), "double")
-        .when(F.col("p.mask") == _BOOLEAN, "boolean")
+        F.when(F.col("mask") == _WHOLE, "bigint")
+        .when(F.col("mask").isin(_DECIMAL, _WHOLE | _DECIMAL), "double")
+        .when(F.col("mask") == _BOOLEAN, "boolean")
         .otherwise("string")
         .alias("data_type"),
-        F.col("p.n_values").alias("n_values"),
+        "n_values",
     )
 
 
 def infer_schema(df: DataFrame) -> T.StructType:
     """The schema :func:`column_catalog` finds."""
-    found = column_catalog(df).orderBy("ordinal").collect()
-    return T.StructType([T.StructField(r["column_name"], _NAMED[r["data_type"]]) for r in found])
+    # bounded: one row per column; an empty table has none
+    found = {r["column_name"]: r["data_type"] for r in column_catalog(df).collect()}
+    return T.StructType([T.StructField(c, _NAMED[found.get(c, "string")]) for c in df.columns])
 
 
 def load_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
