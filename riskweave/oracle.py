@@ -492,6 +492,9 @@ FROM raw_transaction GROUP BY {S.LABEL}""", "raw_transaction"),
             f"SELECT *, {_pct('off_peak', 'processed')} AS off_peak_pct FROM ("
             f"SELECT count(*) FILTER (txn_time_bucket = 'high_risk_hours') AS off_peak, count(*) AS processed"
             " FROM feat_time) k", "feat_time"),
+        "ml_inputs": _with(
+            f"SELECT {', '.join([S.KEY, S.LABEL, S.DAY, *S.NUMERIC, *S.CATEGORICAL])} FROM feat_velocity",
+            "feat_velocity"),
         "sentinel_fill": _sentinel_fill(),
         "label_encode": _with(
             "SELECT " + S.KEY + ", " + ", ".join(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.rates import top
-from ..session import scratch_path
+from ..session import scratch_path, spread
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,7 @@ def attribute(df: DataFrame, model, key: str = S.KEY) -> DataFrame:
                 values = shapley_values(np.stack(batch["x"].to_numpy()), leaves)
                 yield pd.DataFrame({key: batch[key], "base": base, "contributions": list(values)})
 
-    rows = df.select(key, vector_to_array("features").alias("x"))
+    rows = spread(df.select(key, vector_to_array("features").alias("x")))
     return rows.mapInPandas(explain, f"{key} {key_type}, base double, contributions array<double>")
 
 

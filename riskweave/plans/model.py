@@ -21,7 +21,7 @@ from ..functions.scalars import predict_at, risk_tier
 from ..operators.evaluate import areas
 from ..operators.rates import class_counts, label_mean, top, union_all
 from ..operators.selection import SplitPoint, split_point
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 
 # The training configuration of the two candidates.
 BOOSTING = {
@@ -164,13 +164,13 @@ def fit_gbt(train: DataFrame, params: dict = BOOSTING, stop_fraction: float = 0.
     booster = GBTClassifier(
         labelCol=S.LABEL, weightCol="weight", validationIndicatorCol="stop", validationTol=1e-6, **params
     )
-    return booster.fit(rows)
+    return booster.fit(spread(rows))
 
 
 def fit_forest(train: DataFrame, params: dict = FOREST):
     """Random forest with balanced class weights, the independent challenger."""
     rows = train.select("features", S.LABEL, balanced_weight(train).alias("weight"))
-    return RandomForestClassifier(labelCol=S.LABEL, weightCol="weight", **params).fit(rows)
+    return RandomForestClassifier(labelCol=S.LABEL, weightCol="weight", **params).fit(spread(rows))
 
 
 def score(model, df: DataFrame) -> DataFrame:

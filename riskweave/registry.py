@@ -150,6 +150,7 @@ named("kpi_off_peak", lambda s, sf: kpis.kpi_off_peak(features.feat_time(_staged
 
 # ---------------------------------------------------------------- model input
 
+named("ml_inputs", lambda s, sf: _log9(model.ml_inputs(features.build(*_raw(s, sf)))))
 named("sentinel_fill", lambda s, sf: model.sentinel_fill(X.raw_transaction(s, sf)))
 
 

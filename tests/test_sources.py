@@ -111,3 +111,13 @@ def test_counting_operators(spark):
     assert C.require_not_null(df, "k").count() == 3
     assert [tuple(r) for r in C.null_counts(df, ["k", S.LABEL]).collect()] == [("k", 1), (S.LABEL, 0)]
     assert C.union_all(df, df).count() == 8
+
+
+def test_amount_stats_by_sketch(spark, sf_dir):
+    from riskweave import fixtures
+
+    raw = fixtures.raw_transaction(spark, sf_dir)
+    exact, sketch = ({r[S.LABEL]: r for r in C.amount_stats(raw, approx=a).collect()} for a in (False, True))
+    for label, row in exact.items():
+        assert (row["min_amt"], row["avg_amt"], row["max_amt"]) == tuple(sketch[label][c] for c in ("min_amt", "avg_amt", "max_amt"))
+        assert abs(row["median_amt"] - sketch[label]["median_amt"]) < 1
