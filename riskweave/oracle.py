@@ -291,7 +291,7 @@ def _catalog() -> str:
     types = [(f.name, f.dataType.simpleString()) for f in S.raw_transaction_schema(v_names)] + [("VX", "string")]
     # text files carry no width: whole numbers come back as bigint
     rows = [
-        f"SELECT {i} AS ordinal, '{c}' AS column_name, '{'bigint' if k == 'int' else k}' AS data_type,"
+        f"SELECT CAST({i} AS BIGINT) AS ordinal, '{c}' AS column_name, '{'bigint' if k == 'int' else k}' AS data_type,"
         f" count({c}) AS n_values FROM raw_transaction"
         for i, (c, k) in enumerate(types, start=1)
     ]
