@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language
+from . import bpe, chat, language, pii, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,24 @@ def op4_language(spark, sf_dir):
     model = language.train(docs.filter(language.in_training("doc_id")))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language.is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+#: Key of the registered pseudonyms; a real job passes its own from a secret store.
+PII_KEY = b"riskweave corpus queries"
+
+
+@query
+def op8_pseudonyms(spark, sf_dir):
+    found = pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return found.select("doc_id", "n_replaced", "replaced", "text")
+
+
+@query
+def op9_maximal_conversations(spark, sf_dir):
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op10_repeated_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.remove_repeated_spans(docs).select("doc_id", "n_sentences", "n_removed", "text")
