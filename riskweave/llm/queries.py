@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, language, pii, spans
+from . import bpe, chat, decontaminate, language, pii, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op9_maximal_conversations(spark, sf_dir):
 def op10_repeated_spans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spans.remove_repeated_spans(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
+@query
+def op6_benchmark_leaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
