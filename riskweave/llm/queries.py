@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, language, pii, spans
+from . import bpe, chat, decontaminate, language, ngram_join, pii, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op10_repeated_spans(spark, sf_dir):
 def op6_benchmark_leaks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
