@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, language, ngram_join, pii, spans
+from . import bpe, chat, decontaminate, html, language, ngram_join, pii, quality, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,15 @@ def op6_benchmark_leaks(spark, sf_dir):
 @query
 def op1_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_main_text(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_quality_grades(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "expected_grade", "p_wanted", "selected")
