@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html, language, ngram_join, pii, quality, spans
+from . import bpe, chat, decontaminate, html, language, ngram_join, pii, quality, search, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,10 @@ def op5_quality_grades(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", "expected_grade", "p_wanted", "selected")
+
+
+@query
+def op7_top_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = search.top_k(docs, docs.filter("doc_id % 100 = 0"))
+    return found.withColumn("score", F.round("score", 6))
