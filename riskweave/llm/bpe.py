@@ -60,6 +60,7 @@ class Automaton:
     def _compile(self, merges: list[tuple[int, int, int]]) -> None:
         target = [0] * len(self.labels)
         parent, lost, since = [-1], [-1], [0]
+        never: set[int] = set()
         for rank, (a, b, c) in enumerate(merges, 1):
             spine, token, before = {}, b, rank
             while token >= 0:
@@ -67,8 +68,9 @@ class Automaton:
             state = target[a]
             while state and since[state] > spine.get(lost[state], -1):
                 state = parent[state]
-            if state:  # no state is left where a and b meet: this token never arises
-                self.ids.pop(self.labels[c])
+            if state or a in never or b in never:  # a and b never meet, so their merge never arises
+                never.add(c)
+                self.ids.pop(self.labels[c], None)
                 continue
             parent.append(target[a])
             lost.append(b)

@@ -24,6 +24,8 @@ CELLS = 1 << 16
 #: that hashes their keys.
 SAMPLE_TEXTS, SAMPLE_BYTES = 8192, 32 << 20
 EPOCHS, BATCH, STEP, DECAY = 15, 256, 0.05, 1e-3
+#: Small samples are gone through more often, for at least so many steps.
+LEAST_STEPS = 300
 #: A text is selected if it has at least the wanted grade with this probability.
 WANTED_GRADE, LEAST_PROBABILITY = 2, 0.4
 
@@ -101,7 +103,7 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int) -> OrdinalModel:
     importance /= importance.mean() if len(importance) else 1
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (weights, gaps)]
     random, step = np.random.default_rng(7), 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(texts))))):
         order = random.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
