@@ -107,10 +107,20 @@ def _ratio4(num: Column, den: Column) -> Column:
     return F.coalesce(half_up(num, den, 1, 4), F.lit(0.0))
 
 
+def scored_rows(df: DataFrame, score: str = "score") -> DataFrame:
+    """Rows with a score; a row without one (NULL or NaN) is no decision either way."""
+    return df.filter(F.col(score).isNotNull() & ~F.isnan(score))
+
+
+def unscored(df: DataFrame, score: str = "score") -> DataFrame:
+    """How many rows :func:`scored_rows` leaves out, one row."""
+    return df.agg(F.count_if(F.col(score).isNull() | F.isnan(score)).alias("n_unscored"))
+
+
 def confusion(df: DataFrame, t: float = 0.5, score: str = "score", label: str = S.LABEL) -> DataFrame:
     """Confusion counts at one threshold with precision and recall, one row."""
     flagged, fraud = F.col(score) >= t, F.col(label) == 1
-    counts = df.agg(
+    counts = scored_rows(df, score).agg(
         F.count_if(flagged & fraud).alias("tp"),
         F.count_if(flagged & ~fraud).alias("fp"),
         F.count_if(~flagged & fraud).alias("fn"),
@@ -144,7 +154,7 @@ def cross_thresholds(
     shrinks to ``len(grid) + 1`` slots before anything is accumulated.
     """
     grid = sorted(map(float, grid))
-    slots = df.groupBy(_slot(score, grid).alias("slot")).agg(
+    slots = scored_rows(df, score).groupBy(_slot(score, grid).alias("slot")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     values = ", ".join(f"({i}, {t!r}D)" for i, t in enumerate(grid, start=1))

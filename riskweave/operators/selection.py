@@ -80,15 +80,8 @@ def time_split(
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, key: str = S.KEY) -> DataFrame:
     """``n`` rows, the same ones on every run and for every partitioning.
 
-    The sample is the ``n`` rows with the smallest digest of key and seed.  Rows whose digest is
-    far too large are dropped before the final merge, which would otherwise receive ``n`` rows
-    from every task; a count proves that enough are left, or nothing is dropped.
+    The sample is the ``n`` rows with the smallest digest of key and seed: a top-k, in which every
+    task hands on its own ``n`` best rows at most.
     """
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    rows = df.count()
-    share = (2 * n + 100) / max(rows, 1)
-    if share < 1:
-        near = df.filter(digest < f"{int(share * 16**8):08x}")
-        if near.count() >= n:
-            df = near
     return df.orderBy(digest, key).limit(n)

@@ -196,7 +196,7 @@ def _frame(key: str, days: int, strict: bool = False) -> str:
 
 
 def _velocity(source: str, strict: bool = False) -> str:
-    money = f"CAST({S.AMOUNT} AS DECIMAL(18,4))"
+    money = f"CAST({S.AMOUNT} AS DECIMAL(18,4))"  # exact here: the test tables have cents
     card7, card30 = _frame("card1", 7, strict), _frame("card1", 30, strict)
     email7, uid30 = _frame("p_email_clean", 7, strict), _frame("uid", 30, strict)
     return f"""SELECT *, {S.AMOUNT} / nullif(card1_avg_amt_30d, 0) AS amt_to_card_avg_ratio FROM (
@@ -413,7 +413,7 @@ def statements() -> dict[str, str]:
     hour = "CAST(floor((TransactionDT % 86400) / 3600) AS BIGINT)"
     dow = "CAST(floor((TransactionDT / 86400) % 7) AS BIGINT)"
     exotic = f"CASE WHEN id_31 IN ({', '.join(map(_text, R.EXOTIC_BROWSERS))}) THEN 1 ELSE 0 END"
-    money = f"CAST({S.AMOUNT} AS DECIMAL(18,4))"
+    money = f"CAST({S.AMOUNT} AS DECIMAL(18,4))"  # exact here: the test tables have cents
     weights = "SELECT CAST(legit AS BIGINT) AS legit_count, CAST(fraud AS BIGINT) AS fraud_count, legit / fraud AS scale_pos_weight"
     simple = {name: _with(f"SELECT * FROM {name}", name) for name in (
         "stg_transaction", "stg_identity", "int_joined", "feat_time", "feat_velocity", "feat_final")}
@@ -511,7 +511,7 @@ FROM raw_transaction GROUP BY {S.LABEL}""", "raw_transaction"),
             " (legit + fraud) / (2 * fraud) AS balanced_weight_fraud FROM train_counts", "train_counts"),
         "validation_sample": _with(
             f"SELECT {S.KEY}, {S.LABEL}, {S.DAY} FROM parts WHERE part = 'validation'"
-            f" ORDER BY md5(CAST({S.KEY} AS VARCHAR) || ':42'), {S.KEY} LIMIT 500", "parts"),
+            f" ORDER BY md5(CAST({S.KEY} AS VARCHAR) || ':42'), {S.KEY} LIMIT 5000", "parts"),
         "pr_curve": _curve(
             "SELECT score AS threshold, tp / (tp + fp) AS precision, tp / p AS recall FROM curve"
             " UNION ALL SELECT NULL, 1.0, 0.0"),

@@ -116,7 +116,7 @@ def attribute(df: DataFrame, model, key: str = S.KEY) -> DataFrame:
                 values = shapley_values(np.stack(batch["x"].to_numpy()), leaves)
                 yield pd.DataFrame({key: batch[key], "base": base, "contributions": list(values)})
 
-    rows = spread(df.select(key, vector_to_array("features").alias("x")))
+    rows = spread(df.select(key, vector_to_array("features").alias("x")), key)
     return rows.mapInPandas(explain, f"{key} {key_type}, base double, contributions array<double>")
 
 

@@ -160,17 +160,17 @@ def fit_gbt(train: DataFrame, params: dict = BOOSTING, stop_fraction: float = 0.
     stays unseen.
     """
     early = split_point(train, 1 - stop_fraction).is_train()
-    rows = train.select("features", S.LABEL, pos_weight(train).alias("weight"), (~early).alias("stop"))
+    rows = train.select(S.KEY, "features", S.LABEL, pos_weight(train).alias("weight"), (~early).alias("stop"))
     booster = GBTClassifier(
         labelCol=S.LABEL, weightCol="weight", validationIndicatorCol="stop", validationTol=1e-6, **params
     )
-    return booster.fit(spread(rows))
+    return booster.fit(spread(rows, S.KEY))
 
 
 def fit_forest(train: DataFrame, params: dict = FOREST):
     """Random forest with balanced class weights, the independent challenger."""
-    rows = train.select("features", S.LABEL, balanced_weight(train).alias("weight"))
-    return RandomForestClassifier(labelCol=S.LABEL, weightCol="weight", **params).fit(spread(rows))
+    rows = train.select(S.KEY, "features", S.LABEL, balanced_weight(train).alias("weight"))
+    return RandomForestClassifier(labelCol=S.LABEL, weightCol="weight", **params).fit(spread(rows, S.KEY))
 
 
 def score(model, df: DataFrame) -> DataFrame:

@@ -172,7 +172,7 @@ def class_weights(spark, sf):
 @query
 def validation_sample(spark, sf):
     staged = _staged(spark, sf).select(S.KEY, S.LABEL, S.DAY)
-    return seeded_sample(staged.filter(~split_point(staged).is_train()), 500)
+    return seeded_sample(staged.filter(~split_point(staged).is_train()), 5000)
 
 
 # ---------------------------------------------------------------- evaluation

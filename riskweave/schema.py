@@ -16,7 +16,9 @@ NUM_SENTINEL = -999.0
 TEXT_SENTINEL = "unknown"
 
 #: Money is summed as exact decimals, so totals do not depend on partitioning or task retries.
-MONEY = "decimal(18,4)"
+#: Eighteen digits behind the point hold every amount from a hundredth of a cent down as written;
+#: a total beyond 10**20 raises.
+MONEY = "decimal(38,18)"
 
 COUNT_COLUMNS = [f"C{k}" for k in range(1, 15)]
 GAP_COLUMNS = [f"D{k}" for k in range(1, 16)]
@@ -60,7 +62,12 @@ FEATURE_COLUMNS = [
     "device_type", "os_group", "os_version_group", "browser_family",
     "chrome_version_bucket", "is_exotic_browser", "device_manufacturer", "samsung_tier",
     "no_browser_os_signal", "is_old_android_budget_device", "has_identity",
-    *ID_NUMERIC, *ID_TEXT, *SCREEN, *ID_FLAGS,
+    # fixed order of the identity columns
+    *[f"id_{k:02d}" for k in range(1, 12)],
+    "id_12", "id_15", "id_16", "id_13", "id_14",
+    "id_17", "id_18", "id_19", "id_20", "id_21", "id_22", "id_24", "id_25", "id_26",
+    "id_23", "id_27", "id_28", "id_29", "id_32",
+    *SCREEN, *ID_FLAGS,
     *VELOCITY,
 ]
 

@@ -69,11 +69,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as there are cores.
+def spread(df: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """``df`` over a stated number of partitions by key, for work that is heavy per row.
 
-    For work that is heavy per row.  Only tables too small to fill the cluster are moved; large
-    ones already have more partitions than cores and stay where they are.
+    Always moved, so that what is fitted on it depends neither on cores nor on files.  For very
+    large tables ``parts`` is raised by the caller: as a parameter of the job, not by its size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(parts, key)

@@ -12,16 +12,17 @@ NULL_TOKENS = ("NULL", "null", "NA", "")
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
 # one bit per kind of text seen in a column
-_WHOLE, _DECIMAL, _BOOLEAN, _TEXT = 1, 2, 4, 8
-_NAMED = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType()}
+_WHOLE, _DECIMAL, _BOOLEAN, _TEXT, _LONG = 1, 2, 4, 8, 16
+_NAMED = {"bigint": T.LongType(), "decimal(38,0)": T.DecimalType(38, 0), "double": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType()}
 
 
 def read_landing(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Every column as text, NULL spellings resolved.  Compressed files are read by extension.
 
-    A gzip file cannot be split, so land many moderate files rather than one large one.
+    A gzip file cannot be split, so land many moderate files rather than one large one.  A file whose
+    header differs from the first one's raises: it would be read into the wrong columns.
     """
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, inferSchema=False)
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, inferSchema=False, enforceSchema=False)
     return normalize_nulls(reader.csv(path))
 
 
@@ -46,7 +47,8 @@ def normalize_nulls(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> Dat
 def column_catalog(df: DataFrame) -> DataFrame:
     """Position, name, inferred type and number of values of every column of an all-text table.
 
-    The type is the narrowest of bigint, double and boolean that every value fits, else string.
+    The type is the narrowest of bigint, decimal(38,0), double and boolean that every value fits,
+    else string; whole numbers of 19 and more digits never become doubles, which would lose digits.
     Cells are summed up by column name inside the tasks to a bit mask and a count per column; only
     those travel.  Turning cells into rows keeps the plan small for tables of hundreds of columns.
     Patterns decide, not trial casts: a failed cast raises and discards an exception per value.
@@ -56,6 +58,8 @@ def column_catalog(df: DataFrame) -> DataFrame:
     mask = F.expr(
         f"CASE WHEN value IS NULL THEN 0"
         f" WHEN value RLIKE '^[+-]?[0-9]{{1,18}}$' THEN {_WHOLE}"
+        f" WHEN value RLIKE '^[+-]?[0-9]{{19,38}}$' THEN {_LONG}"
+        f" WHEN value RLIKE '^[+-]?[0-9]{{39,}}$' THEN {_TEXT}"
         f" WHEN value RLIKE '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$' THEN {_DECIMAL}"
         f" WHEN lower(value) IN ('true', 'false') THEN {_BOOLEAN}"
         f" ELSE {_TEXT} END"
@@ -65,6 +69,7 @@ def column_catalog(df: DataFrame) -> DataFrame:
         F.array_position(names, F.col("column_name")).alias("ordinal"),
         "column_name",
         F.when(F.col("mask") == _WHOLE, "bigint")
+        .when(F.col("mask").isin(_LONG, _WHOLE | _LONG), "decimal(38,0)")
         .when(F.col("mask").isin(_DECIMAL, _WHOLE | _DECIMAL), "double")
         .when(F.col("mask") == _BOOLEAN, "boolean")
         .otherwise("string")

@@ -79,3 +79,12 @@ def test_histogram_integrates_to_one(sample):
         assert sum(r["density"] * width for r in bins if r[S.LABEL] == y) == pytest.approx(1)
     flat = V.score_histogram(scored(df.sparkSession, [(0.5, 1), (0.5, 1)])).collect()
     assert [r["n"] for r in flat] == [2]
+
+
+def test_rows_without_a_score_are_no_decision(spark):
+    df = spark.createDataFrame([(0.9, 1), (0.1, 0), (None, 1), (float("nan"), 0)], f"score double, {S.LABEL} int")
+    one = V.confusion(df).first()
+    assert (one["tp"], one["fp"], one["fn"], one["tn"]) == (1, 0, 0, 1)
+    for row in V.cross_thresholds(df, [0.05, 0.5, 0.95]).collect():
+        assert row["tp"] + row["fp"] + row["fn"] + row["tn"] == 2
+    assert V.unscored(df).first()["n_unscored"] == 2

@@ -121,3 +121,17 @@ def test_amount_stats_by_sketch(spark, sf_dir):
     for label, row in exact.items():
         assert (row["min_amt"], row["avg_amt"], row["max_amt"]) == tuple(sketch[label][c] for c in ("min_amt", "avg_amt", "max_amt"))
         assert abs(row["median_amt"] - sketch[label]["median_amt"]) < 1
+
+
+def test_long_whole_numbers_keep_their_digits(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES ('1', '1234567890123456789', '1234567890123456789', '1'), (NULL, '-5', '0.5', repeat('9', 40)) AS t(a, b, c, d)"
+    )
+    assert [f.dataType.simpleString() for f in landing.infer_schema(df)] == ["bigint", "decimal(38,0)", "string", "string"]
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\nx,1\n")
+    (tmp_path / "2.csv").write_text("b,a\n2,y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.read_landing(spark, str(tmp_path)).collect()
