@@ -36,7 +36,7 @@ PARTS = 16
 #: Hash ranges whose counts are compared before verification.
 RANGES = 64
 #: In each round so many times more classes of a list are paired with all others, from one on.
-HUB_GROWTH = 8
+HUB_GROWTH = 64
 #: Bits of the filter that skips texts not needed for verification: 4 MB.
 FILTER_BITS = 1 << 25
 
@@ -298,6 +298,8 @@ def linked_classes(rows: DataFrame, described: DataFrame, rule: JoinRule) -> Dat
     shared = all_rows.groupBy("g").agg(F.count("*").alias("m")).filter("m > 1").select("g")
     lists = stored(all_rows.join(shared, "g"))
     classes = described.filter("kind = 0").groupBy(F.col("c1").alias("cid")).agg(F.first("data").alias("data"))
+    listed = lists.select("cid").distinct()  # only these are ever compared
+    classes = stored(classes.join(listed, "cid", "left_semi"))
     labels, tested, hubs_each = None, None, 1
     while True:
         named = _labelled(lists, labels)
