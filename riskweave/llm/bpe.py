@@ -32,7 +32,7 @@ from pyspark.sql.types import (
 )
 
 #: Words kept with their tokens in one Python worker, and the longest word kept.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 CACHE_WORD_LENGTH = 48
 
 
@@ -53,9 +53,14 @@ class Automaton:
         self.labels = [""] * size
         for token, i in vocab.items():
             self.labels[i] = token
-        self.longest = max(map(len, vocab), default=0)
         self.left, self.born = [-1] * size, [0] * size
         self._compile([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges])
+        #: every start of a token's symbols, with the id of the token that it is, or -1
+        self.starts: dict[str, int] = {}
+        for token in self.ids:
+            body = token.removesuffix(end)
+            for k in range(1, len(body) + 1):
+                self.starts.setdefault(body[:k], self.ids.get(body[:k], -1))
 
     def _compile(self, merges: list[tuple[int, int, int]]) -> None:
         target = [0] * len(self.labels)
@@ -124,18 +129,21 @@ class Automaton:
         return self._path(symbols, end)
 
     def _path(self, symbols: str, end: str) -> list[int]:
-        n, ids, longest, allows = len(symbols), self.ids, self.longest, self.allows
+        n, starts, allows = len(symbols), self.starts, self.allows
         state, origin, arc = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         state[0] = 0
         for i in range(n):
             here = state[i]
             if here < 0:
                 continue
-            for j in range(i + 1, min(n, i + longest) + 1):
-                if state[j] < 0:
-                    token = ids.get(symbols[i:j] + end if j == n else symbols[i:j])
-                    if token is not None and allows(here, token):
-                        state[j], origin[j], arc[j] = self.target[token], i, token
+            for j in range(i + 1, n + 1):
+                token = starts.get(symbols[i:j])
+                if token is None:
+                    break
+                if j == n and end:
+                    token = self.ids.get(symbols[i:] + end, -1)
+                if token >= 0 and state[j] < 0 and allows(here, token):
+                    state[j], origin[j], arc[j] = self.target[token], i, token
         path, j = [], n
         while j:
             path.append(arc[j])
