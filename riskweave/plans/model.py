@@ -44,6 +44,11 @@ FOREST = {
 QUICK_BOOSTING = {**BOOSTING, "maxIter": 8, "maxDepth": 4, "stepSize": 0.2}
 QUICK_FOREST = {**FOREST, "numTrees": 10, "maxDepth": 5}
 
+#: Boosting ends after so many rounds without a lower loss on the stop slice.
+PATIENCE = 50
+#: Rounds of the first fit; each further one has twice as many.
+FIRST_ROUNDS = 64
+
 BOOSTED, FORESTED = "boosted_trees", "random_forest"
 
 
@@ -157,14 +162,41 @@ def fit_gbt(train: DataFrame, params: dict = BOOSTING, stop_fraction: float = 0.
     """Boosted trees with the positive class weighted up.
 
     The last ``stop_fraction`` of the training time decides when to stop; the validation part
-    stays unseen.
+    stays unseen.  The rounds end at ``maxIter``, or when the loss on the stop slice has not fallen
+    for ``PATIENCE`` rounds; the model has the rounds up to the lowest loss before that.  The library
+    itself stops at the first round without gain, so rounds are fitted without its check: the first
+    trees of a longer fit are those of a shorter one.
     """
     early = split_point(train, 1 - stop_fraction).is_train()
     rows = train.select(S.KEY, "features", S.LABEL, pos_weight(train).alias("weight"), (~early).alias("stop"))
-    booster = GBTClassifier(
-        labelCol=S.LABEL, weightCol="weight", validationIndicatorCol="stop", validationTol=1e-6, **params
-    )
-    return booster.fit(spread(rows, S.KEY))
+    rows = cut_lineage(spread(rows, S.KEY))
+    fitting, stop = spread(rows.filter("NOT stop"), S.KEY), rows.filter("stop")
+    limit = params["maxIter"]
+
+    def fitted(rounds: int):
+        return GBTClassifier(labelCol=S.LABEL, weightCol="weight", **{**params, "maxIter": rounds}).fit(fitting)
+
+    if stop.isEmpty():
+        return fitted(limit)
+    rounds = min(FIRST_ROUNDS, limit)
+    while True:
+        model = fitted(rounds)
+        best, ended = best_round(model.evaluateEachIteration(stop))
+        if ended or rounds == limit:
+            return model if best == rounds else fitted(best)
+        rounds = min(2 * rounds, limit)
+
+
+def best_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The round (from 1) of the lowest loss until ``patience`` rounds bring no lower one, and
+    whether they do."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
 
 def fit_forest(train: DataFrame, params: dict = FOREST):

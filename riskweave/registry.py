@@ -203,11 +203,11 @@ _trained: dict[tuple[str, str], model.Prepared] = {}
 
 
 def _prepared(spark: SparkSession, sf: str) -> model.Prepared:
-    """Both candidates, trained once per session and data set with the short configuration."""
+    """Both candidates, trained once per session and data set with the whole configuration."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
         _trained[key] = model.prepare(cut_lineage(features.build(*_raw(spark, sf))))
-        model.train_candidates(_trained[key], model.QUICK_BOOSTING, model.QUICK_FOREST)
+        model.train_candidates(_trained[key], model.BOOSTING, model.FOREST)
     return _trained[key]
 
 
