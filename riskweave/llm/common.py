@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -70,7 +70,7 @@ def strings(batch: pa.RecordBatch, name: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def row_key(*columns: str):
+def row_key(*columns: str | Column) -> Column:
     """Identity of a row by its content: rows that agree in these columns count as one."""
-    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    parts = [x for c in columns for x in (F.isnull(c), F.col(c) if isinstance(c, str) else c)]
     return F.xxhash64(*parts)

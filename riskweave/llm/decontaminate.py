@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, row_key
 
 Q = 8
 #: Edits allowed as a share of an item's bytes.
@@ -185,8 +185,16 @@ def find_leaks(
     Null and empty texts and items, and items too short to tell, match nothing.  Repeated rows are
     reported alike; rows of ``docs`` that share a key are searched each.  An empty side gives no rows.
     """
-    schema = "doc_id long, item_id long, start long, end long, edits long, n_bytes long"
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    return _leaks(docs, benchmark, key, text, item_key, item_text, rate).drop("row")
+
+
+def _leaks(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
+    item_key: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE,
+) -> DataFrame:
+    """What ``find_leaks`` gives, and as ``row`` the hash of the text that holds the item."""
+    schema = "doc_id long, row long, item_id long, start long, end long, edits long, n_bytes long"
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), row_key(text).alias("row"))
     out = None
     for block in item_blocks(benchmark, item_key, item_text, rate):
         found = rows.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(block)), schema)
@@ -221,12 +229,12 @@ def _search(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value.index()
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             texts = [plain(t) if t else b"" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
-                found = [(ids[a + d], *rest) for d, *rest in leaks_in(index, texts[a:b])]
+                found = [(ids[a + d], hashes[a + d], *rest) for d, *rest in leaks_in(index, texts[a:b])]
                 if found:
-                    names = ["doc_id", "item_id", "start", "end", "edits", "n_bytes"]
+                    names = ["doc_id", "row", "item_id", "start", "end", "edits", "n_bytes"]
                     columns = [pa.array(c, pa.int64()) for c in zip(*found)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -259,7 +267,8 @@ def leaks_in(index: _Index, texts: list[bytes]) -> list[tuple[int, int, int, int
 
 
 def remove_leaked(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without documents that hold a benchmark item; rows with a null key are judged as one
-    document, and go if any of them holds an item."""
-    leaks = find_leaks(docs, benchmark, key, text).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(leaks, docs[key].cast("long").eqNullSafe(leaks["leaked"]), "left_anti")
+    """``docs`` without the rows that hold a benchmark item; every row is judged by its own text, also
+    where rows share a key or have none."""
+    leaks = _leaks(docs, benchmark, key, text).select(F.col("doc_id").alias("leaked"), F.col("row").alias("leaked_text")).distinct()
+    same = docs[key].cast("long").eqNullSafe(leaks["leaked"]) & (row_key(docs[text]) == leaks["leaked_text"])
+    return docs.join(leaks, same, "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, chunks, mix, powers, span_hashes, stored
+from .common import CHUNK_BYTES, chunks, mix, powers, row_key, span_hashes, stored
 from .graph import connected_components
 
 #: Cells of the table of n-gram counts; n-grams that share a cell share its count.
@@ -128,13 +128,14 @@ def prefix_length(n: np.ndarray | int, percent: int):
 
 
 def describe(rows: DataFrame, rule: JoinRule) -> DataFrame:
-    """One row a document (kind 0: its key as part, size, class, counts by range) and, for each part
-    of the table of counts, one a task (kind 1); all from one pass over the texts."""
+    """One row a document (kind 0: its key as part, hash of its text as row, size, class, counts by
+    range) and, for each part of the table of counts, one a task (kind 1); all from one pass over the
+    texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "part", "n", "c1", "c2", "data"]
+        names = ["kind", "part", "row", "n", "c1", "c2", "data"]
         counts = np.zeros(CELLS, dtype=np.uint32)
         for batch in batches:
-            ids = batch.column(0)
+            ids, hashes = batch.column(0), batch.column(2)
             for a, b, at, gram in _sets(batch.column(1).to_pylist(), rule.words):
                 counts += np.bincount(_cells(gram), minlength=CELLS).astype(np.uint32)
                 sets = [gram[i:j] for i, j in zip(at, at[1:])]
@@ -142,18 +143,19 @@ def describe(rows: DataFrame, rule: JoinRule) -> DataFrame:
                 ranges = np.repeat(np.arange(b - a), np.diff(at)) * RANGES + (gram >> np.uint64(58)).astype(np.int64)
                 shares = np.bincount(ranges, minlength=(b - a) * RANGES).reshape(b - a, RANGES).astype("<u4")
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([0] * (b - a), pa.int32()), ids.slice(a, b - a), pa.array(np.diff(at)),
+                    pa.array([0] * (b - a), pa.int32()), ids.slice(a, b - a), hashes.slice(a, b - a), pa.array(np.diff(at)),
                     pa.array([c[0] for c in classes], pa.int64()), pa.array([c[1] for c in classes], pa.int64()),
                     pa.array([s.tobytes() for s in shares], pa.binary()),
                 ], names)
         parts = [zstandard.compress(p.tobytes(), 1) for p in counts.reshape(PARTS, -1)]
         zero = pa.array([0] * PARTS, pa.int64())
         yield pa.RecordBatch.from_arrays([
-            pa.array([1] * PARTS, pa.int32()), pa.array(range(PARTS), pa.int64()), zero, zero, zero,
+            pa.array([1] * PARTS, pa.int32()), pa.array(range(PARTS), pa.int64()), zero, zero, zero, zero,
             pa.array(parts, pa.binary()),
         ], names)
 
-    return rows.mapInArrow(run, "kind int, part long, n long, c1 long, c2 long, data binary")
+    hashed = rows.select("id", "text", row_key("text").alias("row"))
+    return hashed.mapInArrow(run, "kind int, part long, row long, n long, c1 long, c2 long, data binary")
 
 
 def levels(described: DataFrame) -> np.ndarray:
@@ -350,6 +352,15 @@ def _relabelled(labels: DataFrame, merged: DataFrame) -> DataFrame:
     return old.unionAll(merged.join(labels.select("node"), "node", "left_anti").select("node", "label"))
 
 
+def _components(docs: DataFrame, key: str, text: str, rule: JoinRule) -> DataFrame:
+    """(id, row, n, cid, comp): key, hash of the text, size, class and component of every row."""
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    described = stored(describe(rows, rule))
+    labels = linked_classes(rows, described, rule)
+    found = described.filter("kind = 0").select(F.col("part").alias("id"), "row", "n", F.col("c1").alias("cid"))
+    return _labelled(found, labels)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: JoinRule = JoinRule()) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``.
 
@@ -358,11 +369,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     texts link; rows that share a key but differ in text are separate.  Null keys are no key to
     reach: a component with no other key has none.  Other columns are ignored.
     """
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    described = stored(describe(rows, rule))
-    labels = linked_classes(rows, described, rule)
-    found = described.filter("kind = 0").select(F.col("part").alias("id"), "n", F.col("c1").alias("cid"))
-    named = _labelled(found, labels)
+    named = _components(docs, key, text, rule)
     least = named.filter("n > 0").groupBy("comp").agg(F.min("id").alias("least"))
     joined = named.join(least, "comp", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
@@ -372,10 +379,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: JoinRule = JoinRule()) -> DataFrame:
     """``docs`` with one document of each component: that with the smallest key.
 
-    Documents without words all stay.  Rows with a null key stay only where no row with a key is in
-    their component; of repeated rows with the kept key one stays.
+    Every row is judged by its own text, by key and hash of the text: other rows of its key, or
+    other rows without a key, do not go with it.  Documents without words all stay.  Rows with a null
+    key stay only where no row with a key is in their component.  Of several texts with the kept key,
+    or without any key, that with the smallest hash stays, and of repeated rows one.
     """
-    found = near_duplicates(docs, key, text, rule)
-    drop = found.filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("dropped")).distinct()
-    kept = docs.join(drop, docs[key].cast("long").eqNullSafe(drop["dropped"]), "left_anti")
-    return kept.dropDuplicates([key, text])
+    named = _components(docs, key, text, rule).filter("n > 0")
+    order = F.struct(F.isnull("id"), "id", "row")  # keys first, in order
+    best = named.groupBy("comp").agg(F.min(order).alias("best"))
+    drop = named.join(best, "comp").filter(order != F.col("best"))
+    drop = drop.select(F.col("id").alias("dropped"), F.col("row").alias("dropped_text")).distinct()
+    same = docs[key].cast("long").eqNullSafe(drop["dropped"]) & (row_key(docs[text]) == drop["dropped_text"])
+    return docs.join(drop, same, "left_anti").dropDuplicates([key, text])
