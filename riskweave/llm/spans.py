@@ -2,7 +2,7 @@
 
 A run starts or ends at every sentence and is as short as the least number of sentences and words
 allows; a very long sentence is a run by itself.  Equal passages therefore hold equal runs, which
-together cover all of a passage's sentences.  Each run's first document is found by one aggregation
+together cover all of a passage's sentences.  Each run's first row is found by one aggregation
 over all runs; every later occurrence marks its sentences, which are then cut out.
 """
 
@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import mix, powers
+from .common import mix, powers, row_key, stored
 
 _BREAK = re.compile(r"\s*\n\s*|(?<=[.!?])\s+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEP_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Stands for a null document id, which comes last.
 _NO_ID = (1 << 63) - 1
+#: Column that tells apart rows of one id, or rows without one.
+_ROW = "_row_of_id"
 
 
 @dataclass(frozen=True)
@@ -76,11 +78,19 @@ class Runs:
         self.doc = doc[self.a] if n else np.zeros(0, dtype=np.int64)
 
 
+def told_apart(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with a number that tells apart rows of one key by their text, and rows with a null
+    key all; the latter are written once, so that every reader sees the same numbers."""
+    no_key = F.col(key).cast("long").isNull()
+    keyed = docs.filter(~no_key).withColumn(_ROW, row_key(text))
+    return keyed.unionAll(stored(docs.filter(no_key).withColumn(_ROW, F.monotonically_increasing_id())))
+
+
 def run_table(docs: DataFrame, key: str, text: str, rule: RunRule) -> DataFrame:
-    """(h, id): each different run of each row."""
+    """(h, id, row): each different run of each row of ``told_apart``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, rows = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 500):
                 runs = Runs(texts[at : at + 500], rule)
@@ -88,30 +98,36 @@ def run_table(docs: DataFrame, key: str, text: str, rule: RunRule) -> DataFrame:
                 h, doc = runs.hash[order], runs.doc[order]
                 new = np.ones(len(h), dtype=bool)
                 new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(h[new]), pa.array(ids[at + doc[new]])], ["h", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[new]), pa.array(ids[at + doc[new]]), pa.array(rows[at + doc[new]])], ["h", "id", "row"])
 
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "h long, id long")
+    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("id"), F.col(text).alias("text"), _ROW)
+    return texts.mapInArrow(run, "h long, id long, row long")
 
 
 def remove_repeated_spans(
     docs: DataFrame, key: str = "doc_id", text: str = "text", rule: RunRule = RunRule()
 ) -> DataFrame:
     """``docs`` without sentences in any run that occurred before, earlier in the same text or in a
-    document with a smaller key; ``n_sentences`` and ``n_removed`` are added (replaced).
+    row that comes before; ``n_sentences`` and ``n_removed`` are added (replaced).
 
-    Rows that share a key are versions of one document and do not count against each other; rows
-    with a null key form one such document, the last.  Null texts stay null, empty ones empty, with
-    no sentences.  Texts shorter than a run are kept, however often they occur.
+    Rows come in order of keys, those with a null key last.  Different texts of one key count against
+    each other, in order of their hashes, and so do all rows with a null key; only repeated rows, of
+    the same key and text, do not.  Null texts stay null, empty ones empty, with no sentences.  Texts
+    shorter than a run are kept, however often they occur.
     """
     docs = docs.drop("n_sentences", "n_removed")
+    given = docs.columns
+    docs = told_apart(docs, key, text)
     runs = run_table(docs, key, text, rule)
-    firsts = runs.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    who = F.struct("id", "row")
+    firsts = runs.groupBy("h").agg(F.min(who).alias("first"), F.max(who).alias("last"))
     firsts = firsts.filter("first < last").select("h", "first")
-    marks = runs.join(firsts, "h").filter("id > first").groupBy("id").agg(F.collect_set("h").alias("marked"))
-    marked = docs.join(marks, F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)) == marks["id"], "left")
-    columns = [docs[c] for c in docs.columns]
-    place = docs.columns.index(text)
+    # a row's list is bounded by its own text
+    marks = runs.join(firsts, "h").filter(who > F.col("first")).groupBy("id", "row").agg(F.collect_set("h").alias("marked"))
+    same = (F.coalesce(docs[key].cast("long"), F.lit(_NO_ID)) == marks["id"]) & (docs[_ROW] == marks["row"])
+    marked = docs.join(marks, same, "left")
+    columns = [docs[c] for c in given]
+    place = given.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +161,7 @@ def remove_repeated_spans(
             arrays += [pa.array(sentences, pa.int64()), pa.array(removed, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = StructType([StructField(f.name, StringType() if f.name == text else f.dataType) for f in docs.schema.fields]
+    schema = StructType([StructField(c, StringType() if c == text else docs.schema[c].dataType) for c in given]
                         + [StructField("n_sentences", LongType()), StructField("n_removed", LongType())])
     names = schema.names
     return marked.select(*columns, "marked").mapInArrow(cut, schema)
