@@ -140,23 +140,30 @@ def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
     rated = labels.select(F.col("doc_id").alias("key"), grade.alias("grade")).filter("grade IS NOT NULL AND key IS NOT NULL")
     rated = rated.groupBy("key").agg(F.min("grade").alias("grade"))
-    chosen = rated.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_TEXTS)
-    texts = docs.select(F.col("doc_id").alias("key"), "text").filter("text IS NOT NULL")
+    fits = F.octet_length("text") <= SAMPLE_BYTES
+    present = docs.filter(F.col("text").isNotNull() & fits).select(F.col("doc_id").alias("key")).distinct()
+    chosen = rated.join(present, "key", "left_semi").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_TEXTS)
+    texts = docs.select(F.col("doc_id").alias("key"), "text").filter(F.col("text").isNotNull() & fits)
     return texts.join(F.broadcast(chosen), "key")  # SAMPLE_TEXTS rows
 
 
 def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
-    """The model of a bounded sample of rated documents; without any, every text has grade 2 with
-    probability one half.  Of texts that share a key any may be learned from."""
+    """The model of a bounded sample of rated documents; without any label, every text has grade 2
+    with probability one half.  Texts that do not fit into the sample any more are left out, smaller
+    ones after them are not.  Of texts that share a key any may be learned from.
+
+    Raises ValueError if documents and labels are given, but no document that fits has a label."""
     texts, grades, size = [], [], 0
     for r in graded(docs, labels).orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(SAMPLE_TEXTS).toLocalIterator():
         value = r["text"].encode("utf-8")
         if size + len(value) > SAMPLE_BYTES:
-            break
+            continue
         texts.append(value)
         grades.append(r["grade"])
         size += len(value)
     if not texts:
+        if not docs.filter("text IS NOT NULL").isEmpty() and not labels.filter("quality IS NOT NULL OR toxic IS NOT NULL").isEmpty():
+            raise ValueError("no document that fits into the sample has a label")
         return OrdinalModel(np.zeros(CELLS), np.zeros(2))
     return fit(texts, np.array(grades, dtype=np.int64), 3)
 
