@@ -57,6 +57,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/riskweave-{uuid.uuid4().hex}/{name}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written copy that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from there.
 
