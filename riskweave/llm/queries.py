@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html, language, ngram_join, pii, quality, search, spans
+from . import bpe, chat, decontaminate, html, language, lines, ngram_join, pii, quality, search, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,11 @@ def op7_top_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = search.top_k(docs, docs.filter("doc_id % 100 = 0"))
     return found.withColumn("score", F.round("score", 6))
+
+
+@query
+def op13_line_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.remove_repeated_lines(lines.by_falling_id(docs))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
