@@ -30,15 +30,16 @@ MIN_DOCS = 5
 #: Runs of a level that are merged into one of the next level.
 FANOUT = 2
 
+#: The letters that keys fold, no others.
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANK = " \t\n\x0b\x0c\r"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HASH = ["_h1", "_h2"]
 _ROW = ["_r1", "_r2"]
 
 
 def keys(text: Column) -> Column:
     """The key of every line of ``text`` (null: one empty line): stripped, A-Z in lower case."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
+    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
     return F.transform(F.split(lowered, "\n", -1), lambda line: F.btrim(line, F.lit(_BLANK)))
 
 

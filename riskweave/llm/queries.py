@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html, language, lines, ngram_join, pii, quality, search, spans
+from . import bpe, chat, decontaminate, html, language, lines, merkle, ngram_join, pii, quality, search, spans
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,23 @@ def op7_top_documents(spark, sf_dir):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query
+def op11_merkle_witnesses(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    leaves = docs.select("doc_id", "lang", merkle.row_digest(*columns).alias("leaf"), *columns[1:2], "n_chars", "text")
+    tampers = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", lines.UPPER, lines.UPPER.lower())
+    leaves = leaves.withColumn("text", F.when(tampers, lowered).otherwise(F.col("text")))
+    leaves = leaves.select("doc_id", "lang", "leaf", merkle.row_digest(*columns).alias("tampered"))
+    found = merkle.manifest(leaves, F.col("lang"), F.col("leaf"), [F.col("doc_id")])
+    found = found.withColumn("folded_root", merkle.folded(F.col("row.tampered"), F.col("witness")))
+    return found.select(
+        "row.doc_id", F.col("digest").alias("leaf"), "subroot", "root", merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 @query
 def op13_line_runs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
