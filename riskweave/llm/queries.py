@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html, language, lines, merkle, ngram_join, pii, quality, search, spans
+from . import bpe, chat, decontaminate, html, language, lines, merkle, ngram_join, pii, quality, search, spans, spelling
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,22 @@ def op11_merkle_witnesses(spark, sf_dir):
     )
 
 
+@query
+def op12_spelling_forms(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def misspelt(run):
+        """One run in 199, by the checksum of its place, loses a letter."""
+        mark = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run))
+        at = (mark % F.length(run)).cast("int")
+        shorter = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+        return F.when(mark % 199 == 0, shorter).otherwise(run)
+
+    found = docs.select("doc_id", F.explode(spelling.runs(F.col("text"))).alias("run"))
+    found = found.select(F.array(misspelt(F.col("run"))).alias("words"))
+    return spelling.group_variants(found, F.col("words"))
+
+
 @query
 def op13_line_runs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
