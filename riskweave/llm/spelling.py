@@ -49,34 +49,21 @@ def word_counts(words: DataFrame, min_chars: int = MIN_CHARS, min_count: int = M
     return counts.filter(F.col("n") >= min_count)
 
 
-def _cells(words: list[str], width: int) -> np.ndarray:
-    """Code points of ``words``, one row each, -1 beyond their ends."""
-    out = np.full((len(words), width), -1, dtype=np.int32)
-    for i, word in enumerate(words):
-        out[i, : len(word)] = np.frombuffer(word.encode("utf-32-le"), dtype=np.int32)
-    return out
-
-
 def near_pairs(words: list[str]) -> Iterator[tuple[int, int, int]]:
-    """(i, j, place) of all words[i], words[j] one edit apart, i < j; ``words`` sorted and distinct.
+    """(i, j, place) of all words[i], words[j] one edit apart, i < j; ``words`` distinct, and sorted
+    for speed: in another order fewer letters are shared and nothing else changes.
 
     Row d of the matrix between a looked-up word u and the first d letters of a list word has the
     cells u[:d-1], u[:d], u[:d+1].  ``rows[d]`` keeps it for all u that are still within one edit.
     ``place`` is the first place where both differ.
     """
-    count, lengths = len(words), np.array([len(w) for w in words], dtype=np.int64)
-    width = int(lengths.max(initial=0))
-    letters = _cells(words, width + 3)
-    lcp = np.zeros(count, dtype=np.int64)
-    for i in range(1, count):
-        differ = np.flatnonzero(letters[i] != letters[i - 1])
-        lcp[i] = differ[0] if len(differ) else width
-    every = np.arange(count)
-    far = np.int8(2)
-    # row 0: the cells u[:-1] (none), u[:0], u[:1]; a cell beyond the end of u counts as far
-    first = np.tile(np.array([2, 0, 1], dtype=np.int8), (count, 1))
-    first[lengths < 1, 2] = far
-    rows: list[tuple[np.ndarray, np.ndarray]] = [(every, first)]
+    count, lengths = len(words), np.array([len(w) for w in words])
+    width = int(lengths.max(initial=1)) or 1
+    letters = np.zeros((count, width + 4), dtype=np.int32)  # two blanks before, two behind
+    letters[:, 2:-2] = np.array(words, dtype=f"U{width}").view(np.int32).reshape(count, width)
+    lcp = [0, *(letters[1:, 2:] != letters[:-1, 2:]).argmax(axis=1).tolist()]
+    # row 0: u[:-1] (none, counted as far), u[:0], u[:1]
+    rows = [(np.arange(count), np.tile(np.array([2, 0, 1], dtype=np.int8), (count, 1)))]
     skip_at = width + 1  # words that share so many letters with the last one are skipped
     for j in range(count):
         if lcp[j] >= skip_at:
@@ -85,19 +72,11 @@ def near_pairs(words: list[str]) -> Iterator[tuple[int, int, int]]:
         del rows[lcp[j] + 1 :]
         for d in range(len(rows), lengths[j] + 1):
             alive, before = rows[d - 1]
-            letter = letters[j, d - 1]
-            # cells of row d stand for u[:d-1], u[:d], u[:d+1]
-            own = letters[alive]
-            row = np.full((len(alive), 3), far, dtype=np.int8)
-            for k in range(3):
-                at = d - 1 + k  # letters of u in this cell
-                cost = before[:, k] + (own[:, at - 1] != letter) if at else np.full(len(alive), far)
-                if k < 2:
-                    cost = np.minimum(cost, before[:, k + 1] + 1)
-                if k:
-                    cost = np.minimum(cost, row[:, k - 1] + 1)
-                row[:, k] = np.where(at > lengths[alive], far, np.minimum(cost, far))
-            within = row.min(axis=1) <= 1
+            row = before + (letters[alive, d : d + 3] != letters[j, d + 1])
+            np.minimum(row[:, :2], before[:, 1:] + 1, out=row[:, :2])
+            np.minimum(row[:, 1], row[:, 0] + 1, out=row[:, 1])
+            np.minimum(row[:, 2], row[:, 1] + 1, out=row[:, 2])
+            within = (row <= 1).any(axis=1)
             if not within.any():
                 skip_at = d
                 break
@@ -105,11 +84,10 @@ def near_pairs(words: list[str]) -> Iterator[tuple[int, int, int]]:
         else:
             alive, row = rows[lengths[j]]
             cell = lengths[alive] - lengths[j] + 1
-            ok = (cell >= 0) & (cell <= 2)
-            hits = alive[ok][row[ok, cell[ok]] == 1]
-            for i in hits[hits < j].tolist():
-                differ = np.flatnonzero(letters[i] != letters[j])
-                yield i, j, int(differ[0])
+            ok = (alive < j) & (cell >= 0) & (cell <= 2)
+            alive, row, cell = alive[ok], row[ok], cell[ok]
+            for i in alive[row[np.arange(len(cell)), cell] == 1].tolist():
+                yield i, j, int((letters[i, 2:] != letters[j, 2:]).argmax())
 
 
 def _keyed(words: DataFrame) -> DataFrame:
@@ -156,14 +134,18 @@ def near(words: DataFrame, group: int = GROUP) -> DataFrame:
 
 def _scan(members: DataFrame) -> DataFrame:
     """The pairs of every group, each found once: where the first difference is a place of the
-    group and the shorter word has its length."""
-    ordered = members.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "word")
+    group and the shorter word has its length.  Only the letters between what all words of a group
+    share at both ends are compared."""
+    key = F.concat_ws("\0", "length", "lo", "hi", "head", "tail")
+    ordered = members.select(key.alias("key"), "word").repartition("key").sortWithinPartitions("key", "word")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (length, lo, hi, _, _), words in _groups(batches):
+        for key, words in _groups(batches):
+            length, lo, hi, _, tail = key.split("\0")
+            length, lo, hi, tail = int(length), int(lo), int(hi), len(tail)
             left, right = [], []
-            for i, j, place in near_pairs(words):
-                if lo <= place < hi and min(len(words[i]), len(words[j])) == length:
+            for i, j, place in near_pairs([w[lo : len(w) - tail] for w in words]):
+                if lo + place < hi and min(len(words[i]), len(words[j])) == length:
                     left += [words[i], words[j]]
                     right += [words[j], words[i]]
             if left:
@@ -172,19 +154,19 @@ def _scan(members: DataFrame) -> DataFrame:
     return ordered.mapInArrow(pairs, "word string, near string")
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
     """(key, sorted words) of every group of a sorted partition."""
     key, words = None, []
     for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*_GROUP, "word")]
-        for *own, word in zip(*columns):
-            if own != key:
+        keys, own = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("key", "word"))
+        for k, word in zip(keys, own):
+            if k != key:
                 if words:
-                    yield tuple(key), sorted(words)
-                key, words = own, []
+                    yield key, words
+                key, words = k, []
             words.append(word)
     if words:
-        yield tuple(key), sorted(words)
+        yield key, words
 
 
 def forms(counts: DataFrame, ratio: int = RATIO, group: int = GROUP) -> DataFrame:
