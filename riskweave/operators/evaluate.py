@@ -28,39 +28,39 @@ def _classes(label: str) -> dict[str, Column]:
     return {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)}
 
 
-def areas(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
-    """``roc_auc`` and ``average_precision``, one row, from one pass.
+def areas(df: DataFrame, score: str = "score", label: str = S.LABEL, by: tuple[str, ...] = ()) -> DataFrame:
+    """``roc_auc`` and ``average_precision``, one row (or one per ``by``), from one pass.
 
     ROC-AUC is the share of (fraud, legitimate) pairs ranked right, ties half; pairs are counted
     in whole numbers.  Average precision sums, over the thresholds, precision times the recall
     gained there; nothing is interpolated.  NULL when a class is missing.
     """
-    rows = running_totals(df, score, _classes(label), descending=True, **options)
+    rows = running_totals(df, score, _classes(label), by, descending=True)
     # twice the pairs won at a score: legitimate rows below it count double, tied ones once
     below = (F.col("total_neg") - F.col("cum_neg")) * 2 + F.col("neg")
     won = F.sum(F.col("pos").cast("decimal(19,0)") * below.cast("decimal(19,0)")).cast("double")
     pairs = F.max(F.col("total_pos").cast("double") * F.col("total_neg").cast("double") * 2)
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     gained = F.sum(F.col("pos") * precision)
-    return rows.agg(
+    return rows.groupBy(*by).agg(
         F.try_divide(won, pairs).alias("roc_auc"),
         F.try_divide(gained, F.max("total_pos")).alias("average_precision"),
     )
 
 
-def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
+def roc_auc(df: DataFrame, score: str = "score", label: str = S.LABEL) -> DataFrame:
     """Area under the ROC curve; see :func:`areas`."""
-    return areas(df, score, label, **options).select("roc_auc")
+    return areas(df, score, label).select("roc_auc")
 
 
-def average_precision(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
+def average_precision(df: DataFrame, score: str = "score", label: str = S.LABEL) -> DataFrame:
     """Step-wise area under the precision-recall curve; see :func:`areas`."""
-    return areas(df, score, label, **options).select("average_precision")
+    return areas(df, score, label).select("average_precision")
 
 
-def pr_curve(df: DataFrame, score: str = "score", label: str = S.LABEL, **options) -> DataFrame:
+def pr_curve(df: DataFrame, score: str = "score", label: str = S.LABEL) -> DataFrame:
     """Precision and recall at every distinct score, and the closing point (1, 0)."""
-    rows = running_totals(df, score, _classes(label), descending=True, **options)
+    rows = running_totals(df, score, _classes(label), descending=True)
     points = rows.select(
         F.col(score).cast("double").alias("threshold"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),

@@ -1,38 +1,62 @@
 """Running totals in value order, without a global sort and without one window over everything.
 
 Rows are first summed up per distinct value (map-side first, so a value held by a third of all
-rows is one row).  The distinct values are cut into ranges of similar row counts, each range is
-accumulated by itself, and the totals of the ranges before it are added from a table with one row
-per range.
+rows is one row).  The distinct values are dealt by ranges into as many parts as a shuffle has,
+each part is accumulated by itself, and the totals of the parts before it are added.  Those totals
+are found the same way: parts in groups of FAN, groups in groups of FAN, so no window sees more
+than FAN of them, however many parts there are.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import attach
 
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 4096
-RANGE = "_range"
+#: Parts whose totals one window accumulates.
+FAN = 256
+PART = "_part"
 
 
-def range_edges(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Values that cut ``df`` into ranges of about ``rows_per_range`` rows, at most MAX_RANGES - 1.
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    They are fetched once and become constants of the plan, so every branch and every retry of a
-    task cuts the same way.  Only how even the ranges are depends on the approximation.
+
+def in_ranges(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """``df`` dealt by ranges of ``keys``, with its part (from 0) as ``_part``.
+
+    Written once, since dealing anew would cut elsewhere.
     """
-    rows = df.agg(F.count(value).alias("n")).first()["n"]
-    ranges = min(MAX_RANGES, -(-rows // rows_per_range))
-    if ranges < 2:
-        return []
-    at = [k / ranges for k in range(1, ranges)]
-    found = df.agg(F.percentile_approx(F.col(value).cast("double"), at, 10 * MAX_RANGES).alias("e"))
-    return sorted(set(found.first()["e"]))
+    dealt = df.repartitionByRange(_parts(df), *keys)
+    return cut_lineage(dealt.withColumn(PART, F.spark_partition_id()))
+
+
+def totals_before(totals: DataFrame, by: tuple[str, ...], place: str, measures: list[str], places: int) -> DataFrame:
+    """``by``, ``place`` and per measure ``_before_<m>``, its sum over lower places, and ``total_<m>``.
+
+    ``totals`` has one row per ``by`` and ``place``, a whole number below ``places``.
+    """
+    group = "_group_of_" + place
+    grouped = totals.withColumn(group, F.floor(F.col(place) / FAN).cast("int"))
+    own = W.partitionBy(*by, group)
+    earlier = own.orderBy(place).rowsBetween(W.unboundedPreceding, -1)
+    inner = {f"_before_{m}": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures}
+    if places <= FAN:
+        sums = {f"total_{m}": F.sum(m).over(own) for m in measures}
+        return grouped.select(*by, place, *[c.alias(n) for n, c in (inner | sums).items()])
+    per_group = grouped.groupBy(*by, group).agg(*[F.sum(m).alias(m) for m in measures])
+    outer = totals_before(per_group, by, group, measures, -(-places // FAN))
+    outer = outer.withColumnsRenamed({f"_before_{m}": f"_outer_{m}" for m in measures})
+    inside = grouped.select(*by, place, group, *[c.alias(n) for n, c in inner.items()])
+    both = attach(inside, outer, [*by, group])
+    return both.select(
+        *by, place,
+        *[(F.col(f"_before_{m}") + F.col(f"_outer_{m}")).alias(f"_before_{m}") for m in measures],
+        *[f"total_{m}" for m in measures],
+    )
 
 
 def running_totals(
@@ -41,7 +65,6 @@ def running_totals(
     measures: dict[str, Column],
     by: tuple[str, ...] = (),
     descending: bool = False,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Per distinct ``value``: each measure, its running total and the total of its group.
 
@@ -49,40 +72,29 @@ def running_totals(
     ``<m>``, ``cum_<m>``, ``total_<m>`` per measure.  Rows without a value have no place in the
     order and are left out.
     """
+    order = F.desc if descending else F.asc
     present = df.filter(F.col(value).isNotNull())
-    edges = range_edges(present, value, rows_per_range)
     per_value = present.groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
-    order = F.desc if descending else F.asc
-    if not edges:
-        group, running = W.partitionBy(*by), W.partitionBy(*by).orderBy(order(value))
-        return per_value.select(
-            "*",
-            *[F.sum(n).over(running).alias(f"cum_{n}") for n in measures],
-            *[F.sum(n).over(group).alias(f"total_{n}") for n in measures],
-        )
-    cut = Bucketizer(
-        splits=[float("-inf"), *edges, float("inf")],
-        inputCol="_as_double", outputCol=RANGE, handleInvalid="keep",
-    )
-    ranged = cut.transform(per_value.withColumn("_as_double", F.col(value).cast("double"))).drop("_as_double")
-    per_range = ranged.groupBy(*by, RANGE).agg(*[F.sum(n).alias(n) for n in measures])
-    before = W.partitionBy(*by).orderBy(order(RANGE)).rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_range.select(
-        *by, RANGE,
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in measures],
-        *[F.sum(n).over(W.partitionBy(*by)).alias(f"total_{n}") for n in measures],
-    )
-    within = W.partitionBy(*by, RANGE).orderBy(order(value))
-    return attach(ranged, offsets, [*by, RANGE]).select(
+    ranged = in_ranges(per_value, [*[F.col(b).asc() for b in by], order(value)])
+    per_part = ranged.groupBy(*by, PART).agg(*[F.sum(n).alias(n) for n in measures])
+    offsets = totals_before(per_part, by, PART, list(measures), _parts(df))
+    within = W.partitionBy(*by, PART).orderBy(order(value))
+    return attach(ranged, offsets, [*by, PART]).select(
         *by, value, *measures,
         *[(F.sum(n).over(within) + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in measures],
         *[f"total_{n}" for n in measures],
     )
 
 
-def exact_median(df: DataFrame, value: str, by: tuple[str, ...] = (), **options) -> DataFrame:
+def numbered(df: DataFrame, by: tuple[str, ...], value: str, name: str) -> DataFrame:
+    """``df`` (one row per ``by`` and ``value``, no null value) with its rank within ``by``, from 0."""
+    ranks = running_totals(df, value, {"_rows": F.count(F.lit(1))}, by)
+    return ranks.select(*by, value, (F.col("cum__rows") - 1).alias(name))
+
+
+def exact_median(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
     """``by`` and the exact ``median`` (mean of the two middle values for even counts)."""
-    rows = running_totals(df, value, {"n": F.count(F.lit(1))}, by=by, **options)
+    rows = running_totals(df, value, {"n": F.count(F.lit(1))}, by=by)
 
     def holds(rank: Column) -> Column:
         return ((rank <= F.col("cum_n")) & (rank > F.col("cum_n") - F.col("n"))).cast("int")

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave import schema as S
-from riskweave.operators.running import exact_median, range_edges, running_totals
+from riskweave.operators import running
+from riskweave.operators.running import exact_median, running_totals
 from riskweave.operators.selection import kth_smallest, seeded_sample, split_point, time_split
 
 
@@ -20,23 +21,35 @@ def values(spark):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_ranges_give_the_same_totals(values, descending):
+@pytest.mark.parametrize("fan", [2, 256])
+def test_totals_by_brute_force(values, descending, fan, monkeypatch):
+    """Parts in one window, and in three levels of windows over two each."""
+    monkeypatch.setattr(running, "FAN", fan)
     data, df = values
-    measures = {"n": F.count(F.lit(1))}
-    whole = running_totals(df, "v", measures, by=("g",), descending=descending)
-    ranged = running_totals(df, "v", measures, by=("g",), descending=descending, rows_per_range=100)
-    assert len(range_edges(df, "v", 100)) > 10
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, ranged.select(*whole.columns).collect()))
-    for row in ranged.collect():
+    found = running_totals(df, "v", {"n": F.count(F.lit(1))}, by=("g",), descending=descending).collect()
+    assert len(found) == len(set(data))
+    for row in found:
         reached = [x for g, x in data if g == row["g"] and (x >= row["v"] if descending else x <= row["v"])]
         assert row["cum_n"] == len(reached)
         assert row["total_n"] == sum(g == row["g"] for g, _ in data)
 
 
-@pytest.mark.parametrize("options", [{}, {"rows_per_range": 100}])
-def test_exact_median(values, options):
+def test_no_window_without_a_key(values):
+    _, df = values
+    plan = running_totals(df, "v", {"n": F.count(F.lit(1))})._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+
+
+def test_ranks(spark):
+    data = [(g, f"{g}{i:03}") for g in "abc" for i in range(50 * (g == "a") + 3)] + [(None, "x")]
+    df = spark.createDataFrame(data, "g string, v string").repartition(5)
+    found = {(r["g"], r["v"]): r["code"] for r in running.numbered(df, ("g",), "v", "code").collect()}
+    assert found == {(g, v): sorted(x for h, x in data if h == g).index(v) for g, v in data}
+
+
+def test_exact_median(values):
     data, df = values
-    got = {r["g"]: r["median"] for r in exact_median(df, "v", by=("g",), **options).collect()}
+    got = {r["g"]: r["median"] for r in exact_median(df, "v", by=("g",)).collect()}
     assert got == {g: pytest.approx(statistics.median(x for h, x in data if h == g)) for g in "ab"}
 
 
