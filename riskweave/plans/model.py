@@ -1,55 +1,40 @@
 """Training, scoring and model choice with distributed tree ensembles.
 
-The feature table never leaves the cluster: encoding, assembling, fitting, scoring and evaluating
-are Spark jobs.  Only vocabularies of the categorical columns, class counts and metrics come to
-the driver.
+The feature table never leaves the cluster: encoding, fitting, scoring and evaluating are Spark
+jobs.  Only class counts, bin edges, tree nodes and metrics come to the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.scalars import predict_at, risk_tier
 from ..operators.evaluate import areas
-from ..operators.rates import class_counts, label_mean, top, union_all
+from ..operators.rates import class_counts, label_mean, top
+from ..operators.running import numbered
 from ..operators.selection import SplitPoint, split_point
-from ..session import cut_lineage, spread
+from ..session import cut_lineage
+from . import ensemble
+from .boosting import PARTS, Growth, fit
+from .ensemble import Ensemble
 
 # The training configuration of the two candidates.
-BOOSTING = {
-    "maxIter": 1000,
-    "maxDepth": 8,
-    "stepSize": 0.05,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.4",
-    "seed": 42,
-}
-FOREST = {
-    "numTrees": 100,
-    "maxDepth": 8,
-    "minInstancesPerNode": 20,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.4",
-    "seed": 42,
-}
-#: Short training runs for checks and benches.
-QUICK_BOOSTING = {**BOOSTING, "maxIter": 8, "maxDepth": 4, "stepSize": 0.2}
-QUICK_FOREST = {**FOREST, "numTrees": 10, "maxDepth": 5}
-
-#: Boosting ends after so many rounds without a lower loss on the stop slice.
-PATIENCE = 50
-#: Rounds of the first fit; each further one has twice as many.
-FIRST_ROUNDS = 64
-
-BOOSTED, FORESTED = "boosted_trees", "random_forest"
+BOOSTING = Growth(
+    rounds=1000, depth=8, rate=0.05, rows=0.8, columns=0.4, min_hessian=1.0, l2=1.0, metric="auc", patience=50, seed=42
+)
+# A share of rows has no effect in the original without a frequency, which is not set there.
+LEAFWISE = Growth(
+    rounds=1000, depth=8, rate=0.05, rows=1.0, columns=0.4, leaves=63, min_rows=20, min_hessian=1e-3, l2=0.0,
+    metric="log_loss", patience=50, seed=42,
+)
+
+BOOSTED, LEAF_WISE = "boosted_trees", "leafwise_trees"
+#: How the importance of a candidate's features is measured.
+IMPORTANCE = {BOOSTED: "gain", LEAF_WISE: "splits"}
 
 
 def sentinel_fill(df: DataFrame) -> DataFrame:
@@ -71,59 +56,90 @@ def ml_inputs(df: DataFrame, numeric: list[str] = S.NUMERIC, categorical: list[s
     return df.select(S.KEY, S.LABEL, S.DAY, *numeric, *categorical)
 
 
-def label_encoder(columns: list[str] = S.CATEGORICAL) -> StringIndexer:
-    """Codes 0..n-1 by sorted value; a value not seen in fitting gets code n."""
-    return StringIndexer(
-        inputCols=columns,
-        outputCols=[f"{c}_code" for c in columns],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
+def dictionary(df: DataFrame, columns: list[str] = S.CATEGORICAL) -> DataFrame:
+    """(column, value, code): codes 0..n-1 by sorted value, for every text that occurs."""
+    cells = df.select(*columns).unpivot([], columns, "column", "value").filter("value IS NOT NULL").distinct()
+    return cut_lineage(numbered(cells, ("column",), "value", "code").withColumn("code", F.col("code").cast("int")))
+
+
+def encode(df: DataFrame, codes: DataFrame, columns: list[str] = S.CATEGORICAL) -> DataFrame:
+    """``df`` with ``<column>_code`` per column; a text that ``codes`` lack, or NULL, gets code n."""
+    # bounded: one row per column
+    sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for c in columns:
+        own = codes.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        code = F.coalesce("_code", F.lit(sizes.get(c, 0))).alias(f"{c}_code")
+        df = df.join(own, F.col(c) == F.col("_value"), "left").select(*df.columns, code)
+    return df
 
 
-def label_encode(df: DataFrame, columns: list[str] = S.CATEGORICAL) -> tuple[DataFrame, StringIndexerModel]:
-    """``df`` with ``<column>_code`` per column, fitted on all its rows, and the fitted encoder."""
-    model = label_encoder(columns).fit(df.select(*columns))
-    codes = {f"{c}_code": F.col(f"{c}_code").cast("int") for c in columns}
-    return model.transform(df).withColumns(codes), model
+def label_encode(df: DataFrame, columns: list[str] = S.CATEGORICAL) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``<column>_code`` per column, numbered over all its rows, and the dictionary."""
+    codes = dictionary(df, columns)
+    return encode(df, codes, columns), codes
 
 
-def assembler(columns: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error")
+def ml_inputs(df: DataFrame, numeric: list[str] = S.NUMERIC, categorical: list[str] = S.CATEGORICAL) -> DataFrame:
+    """Key, label and day with the model's input columns; helper columns are left behind."""
+    return df.select(S.KEY, S.LABEL, S.DAY, *numeric, *categorical)
+
+
+def assemble(df: DataFrame, numeric: list[str], categorical: list[str] = S.CATEGORICAL) -> DataFrame:
+    """``df`` with the model input ``x``: numbers as they are, texts as codes."""
+    names = [*numeric, *[f"{c}_code" for c in categorical]]
+    return df.withColumn("x", F.array(*[F.col(c).cast("double") for c in names])).drop(*[f"{c}_code" for c in categorical])
 
 
 @dataclass
 class Prepared:
-    """Fitted encoding and the split it was prepared for."""
+    """The encoded parts of the time split and what they were encoded with."""
 
-    pipeline: PipelineModel
     features: list[str]
     split: SplitPoint
+    codes: DataFrame
     train: DataFrame
     validation: DataFrame
-    fitted: dict[str, object] = field(default_factory=dict)
+    fitted: dict[str, Fitted] = field(default_factory=dict)
+
+
+@dataclass
+class Fitted:
+    """A candidate: its name, its trees and the dictionary its input is encoded with."""
+
+    name: str
+    trees: Ensemble
+    codes: DataFrame
+
+    def inputs(self, feat: DataFrame) -> DataFrame:
+        """A feature table as model input."""
+        numeric = [c for c in self.trees.features if c not in S.CATEGORICAL]
+        return assemble(encode(sentinel_fill(feat), self.codes), numeric)
+
+    def save(self, path: str) -> None:
+        """Write the model to a folder, replacing what is there."""
+        spark = self.codes.sparkSession
+        self.trees.save(spark, f"{path}/trees")
+        self.codes.coalesce(1).write.mode("overwrite").parquet(f"{path}/codes")
+        spark.createDataFrame([(self.name,)], "name string").coalesce(1).write.mode("overwrite").parquet(f"{path}/name")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Fitted:
+        name = spark.read.parquet(f"{path}/name").first()["name"]
+        return Fitted(name, Ensemble.load(spark, f"{path}/trees"), spark.read.parquet(f"{path}/codes"))
 
 
 def prepare(feat: DataFrame, fraction: float = 0.8) -> Prepared:
-    """Split by time and assemble the feature vector.
+    """Split by time and assemble the model input.
 
-    Vocabularies are learned from the training part only.  Codes enter the trees as ordered
-    numbers, which is why the indexer's category metadata is dropped on the way.
+    The dictionary is made from the training part only; both parts are written once.
     """
     filled = sentinel_fill(feat)
     numeric = S.NUMERIC + S.v_columns(feat)
     split = split_point(filled, fraction)
-    train, validation = filled.filter(split.is_train()), filled.filter(~split.is_train())
-    ordinals = ", ".join(f"`{c}_code` + 0D AS `{c}_ord`" for c in S.CATEGORICAL)
-    stages = [
-        label_encoder(),
-        SQLTransformer(statement=f"SELECT *, {ordinals} FROM __THIS__"),
-        assembler(numeric + [f"{c}_ord" for c in S.CATEGORICAL]),
-    ]
-    pipeline = Pipeline(stages=stages).fit(train)
-    return Prepared(
-        pipeline, numeric + S.CATEGORICAL, split, pipeline.transform(train), pipeline.transform(validation)
-    )
+    codes = dictionary(filled.filter(split.is_train()))
+    ready = cut_lineage(assemble(encode(filled, codes), numeric).withColumn("_train", split.is_train()))
+    train, validation = (ready.filter(c).drop("_train") for c in ("_train", "NOT _train"))
+    return Prepared(numeric + S.CATEGORICAL, split, codes, train, validation)
 
 
 def split_summary(df: DataFrame, fraction: float = 0.8) -> DataFrame:
@@ -158,75 +174,55 @@ def class_weights(train: DataFrame) -> DataFrame:
     )
 
 
-def fit_gbt(train: DataFrame, params: dict = BOOSTING, stop_fraction: float = 0.1):
-    """Boosted trees with the positive class weighted up.
+def _start(train: DataFrame, weight: Column) -> float:
+    """The log-odds that both classes start from, by weight; 0 without both classes."""
+    import math
+
+    sums = train.agg(F.sum(F.when(F.col(S.LABEL) == 1, weight)).alias("pos"), F.sum(F.when(F.col(S.LABEL) == 0, weight)).alias("neg")).first()
+    return math.log(sums["pos"] / sums["neg"]) if sums["pos"] and sums["neg"] else 0.0
+
+
+def _fit(prepared: Prepared, name: str, weight: Column, growth: Growth, stop_fraction: float, parts: int) -> Fitted:
+    early = split_point(prepared.train, 1 - stop_fraction).is_train()
+    rows, stop = prepared.train.filter(early), prepared.train.filter(~early)
+    trees = fit(rows, stop, weight, _start(rows, weight), prepared.features, growth, parts)
+    return Fitted(name, trees, prepared.codes)
+
+
+def fit_boosted(prepared: Prepared, growth: Growth = BOOSTING, stop_fraction: float = 0.1, parts: int = PARTS) -> Fitted:
+    """Trees grown level by level, the positive class weighted up.
 
     The last ``stop_fraction`` of the training time decides when to stop; the validation part
-    stays unseen.  The rounds end at ``maxIter``, or when the loss on the stop slice has not fallen
-    for ``PATIENCE`` rounds; the model has the rounds up to the lowest loss before that.  The library
-    itself stops at the first round without gain, so rounds are fitted without its check: the first
-    trees of a longer fit are those of a shorter one.
+    stays unseen.
     """
-    early = split_point(train, 1 - stop_fraction).is_train()
-    rows = train.select(S.KEY, "features", S.LABEL, pos_weight(train).alias("weight"), (~early).alias("stop"))
-    rows = cut_lineage(spread(rows, S.KEY))
-    fitting, stop = spread(rows.filter("NOT stop"), S.KEY), rows.filter("stop")
-    limit = params["maxIter"]
-
-    def fitted(rounds: int):
-        return GBTClassifier(labelCol=S.LABEL, weightCol="weight", **{**params, "maxIter": rounds}).fit(fitting)
-
-    if stop.isEmpty():
-        return fitted(limit)
-    rounds = min(FIRST_ROUNDS, limit)
-    while True:
-        model = fitted(rounds)
-        best, ended = best_round(model.evaluateEachIteration(stop))
-        if ended or rounds == limit:
-            return model if best == rounds else fitted(best)
-        rounds = min(2 * rounds, limit)
-
-
-def best_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """The round (from 1) of the lowest loss until ``patience`` rounds bring no lower one, and
-    whether they do."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_forest(train: DataFrame, params: dict = FOREST):
-    """Random forest with balanced class weights, the independent challenger."""
-    rows = train.select(S.KEY, "features", S.LABEL, balanced_weight(train).alias("weight"))
-    return RandomForestClassifier(labelCol=S.LABEL, weightCol="weight", **params).fit(spread(rows, S.KEY))
-
-
-def score(model, df: DataFrame) -> DataFrame:
-    """``df`` with the probability of fraud as ``score``."""
-    scored = model.transform(df).withColumn("score", vector_to_array("probability")[1])
-    return scored.drop("rawPrediction", "probability", "prediction")
+    return _fit(prepared, BOOSTED, pos_weight(prepared.train), growth, stop_fraction, parts)
+
+
+def fit_leafwise(prepared: Prepared, growth: Growth = LEAFWISE, stop_fraction: float = 0.1, parts: int = PARTS) -> Fitted:
+    """Trees grown best leaf first, with balanced class weights: the challenger."""
+    return _fit(prepared, LEAF_WISE, balanced_weight(prepared.train), growth, stop_fraction, parts)
+
+
+def score(fitted: Fitted, df: DataFrame) -> DataFrame:
+    """``df`` (model input) with the probability of fraud as ``score``."""
+    margin = fitted.trees.margin(df.sparkSession, F.col("x"))
+    return df.withColumn("_margin", margin).withColumn("score", 1 / (1 + F.exp(-F.col("_margin")))).drop("_margin")
 
 
 def compare(scored: dict[str, DataFrame]) -> DataFrame:
-    """ROC-AUC and average precision of every candidate.
+    """ROC-AUC and average precision of every candidate, all in one pass.
 
-    Label and score are written once per candidate, so the trees run once and not once per job of
-    the evaluation.
+    Label and score are written once, so the trees run once and not once per job of the evaluation.
     """
-    rows = []
-    for position, (name, df) in enumerate(scored.items()):
-        metrics = areas(cut_lineage(df.select(S.LABEL, "score")))
-        rows.append(
-            metrics.select(
-                F.lit(position).alias("position"), F.lit(name).alias("model"),
-                "roc_auc", F.col("average_precision").alias("pr_auc"),
-            )
-        )
-    return union_all(*rows)
+    parts = [
+        df.select(F.lit(i).alias("position"), F.lit(name).alias("model"), S.LABEL, "score")
+        for i, (name, df) in enumerate(scored.items())
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    found = areas(cut_lineage(rows), by=("position", "model"))
+    return found.select("position", "model", "roc_auc", F.col("average_precision").alias("pr_auc"))
 
 
 def pick_best(results: DataFrame) -> DataFrame:
@@ -234,21 +230,21 @@ def pick_best(results: DataFrame) -> DataFrame:
     return results.orderBy(F.desc("roc_auc"), "position").limit(1)
 
 
-def train_candidates(prepared: Prepared, boosting: dict = BOOSTING, forest: dict = FOREST) -> dict[str, object]:
-    """Fit both candidates once."""
+def train_candidates(prepared: Prepared, boosting: Growth = BOOSTING, leafwise: Growth = LEAFWISE, parts: int = PARTS) -> dict[str, Fitted]:
+    """Fit both candidates once, side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+
     if not prepared.fitted:
-        prepared.fitted = {
-            BOOSTED: fit_gbt(prepared.train, boosting),
-            FORESTED: fit_forest(prepared.train, forest),
-        }
+        with ThreadPoolExecutor(2) as pool:
+            first = pool.submit(fit_boosted, prepared, boosting, parts=parts)
+            second = pool.submit(fit_leafwise, prepared, leafwise, parts=parts)
+            prepared.fitted = {BOOSTED: first.result(), LEAF_WISE: second.result()}
     return prepared.fitted
 
 
-def importance(model, names: list[str], n: int | None = 20) -> DataFrame:
-    """Features by the impurity they remove, normalised to 1 (the library's own definition)."""
-    values = model.featureImportances.toArray()
-    rows = ", ".join(f"('{c}', {v!r}D)" for c, v in zip(names, map(float, values)))
-    table = SparkSession.active().sql(f"SELECT * FROM VALUES {rows} AS f(feature, importance)")
+def importance(fitted: Fitted, spark: SparkSession, n: int | None = 20) -> DataFrame:
+    """Features by their share of the importance, as the candidate measures it (see IMPORTANCE)."""
+    table = ensemble.importance(fitted.trees.nodes(spark), fitted.trees.features, IMPORTANCE[fitted.name])
     return table if n is None else top(table, n, by="importance", ties=["feature"])
 
 

@@ -206,8 +206,9 @@ def _prepared(spark: SparkSession, sf: str) -> model.Prepared:
     """Both candidates, trained once per session and data set with the whole configuration."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
-        _trained[key] = model.prepare(cut_lineage(features.build(*_raw(spark, sf))))
-        model.train_candidates(_trained[key], model.BOOSTING, model.FOREST)
+        ready = model.prepare(cut_lineage(features.build(*_raw(spark, sf))))
+        model.train_candidates(ready, model.BOOSTING, model.LEAFWISE)
+        _trained[key] = ready
     return _trained[key]
 
 
@@ -226,34 +227,30 @@ def best_model(spark, sf):
     return model.pick_best(model.compare(_scored(spark, sf)))
 
 
-def _best(spark: SparkSession, sf: str) -> str:
-    return best_model(spark, sf).first()["model"]
+def _best(spark: SparkSession, sf: str) -> model.Fitted:
+    return _prepared(spark, sf).fitted[best_model(spark, sf).first()["model"]]
 
 
 @query
 def predictions(spark, sf):
-    name = _best(spark, sf)
+    best = _best(spark, sf)
     path = scratch_path(spark, "predictions")
-    catalog.write_table(model.predictions(_scored(spark, sf)[name], name), path)
+    catalog.write_table(model.predictions(_scored(spark, sf)[best.name], best.name), path)
     return spark.read.parquet(path)
 
 
 @query
 def feature_importance_top20(spark, sf):
-    ready = _prepared(spark, sf)
-    return model.importance(ready.fitted[model.BOOSTED], ready.features)
-
-
-def _attribution_rows(spark: SparkSession, sf: str) -> DataFrame:
-    ready = _prepared(spark, sf)
-    explained = explain.attribute(ready.validation, ready.fitted[model.BOOSTED])
-    return explain.attribution_rows(explained, ready.features)
+    return model.importance(_best(spark, sf), spark)
 
 
 @query
 def attributions(spark, sf):
-    ready = _prepared(spark, sf)
-    return explain.attribute(ready.validation, ready.fitted[model.BOOSTED])
+    return explain.attribute(_prepared(spark, sf).validation, _best(spark, sf).trees)
+
+
+def _attribution_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return explain.attribution_rows(attributions(spark, sf), _prepared(spark, sf).features)
 
 
 @query
@@ -264,9 +261,8 @@ def attribution_summary(spark, sf):
 @query
 def drill_through(spark, sf):
     """Drivers of the highest-scored transaction."""
-    ready = _prepared(spark, sf)
-    scored = model.score(ready.fitted[model.BOOSTED], ready.validation)
+    ready, best = _prepared(spark, sf), _best(spark, sf)
+    scored = model.score(best, ready.validation)
     case = scored.orderBy(F.desc("score"), S.KEY).select(S.KEY).first()[0]
-    one = ready.validation.filter(F.col(S.KEY) == case)
-    explained = explain.attribute(one, ready.fitted[model.BOOSTED])
+    explained = explain.attribute(ready.validation.filter(F.col(S.KEY) == case), best.trees)
     return explain.drill_through(explain.attribution_rows(explained, ready.features), case)

@@ -74,11 +74,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, key: str, parts: int = 64) -> DataFrame:
-    """``df`` over a stated number of partitions by key, for work that is heavy per row.
-
-    Always moved, so that what is fitted on it depends neither on cores nor on files.  For very
-    large tables ``parts`` is raised by the caller: as a parameter of the job, not by its size.
-    """
-    return df.repartition(parts, key)

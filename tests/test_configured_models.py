@@ -1,10 +1,6 @@
 """The registered model queries train with the whole configuration."""
 
-import pytest
-from pyspark.ml.linalg import Vectors
-
 from riskweave import registry
-from riskweave import schema as S
 from riskweave.plans import model
 
 
@@ -14,29 +10,13 @@ def test_registered_queries_train_the_configured_models(spark, monkeypatch):
     monkeypatch.setattr(registry, "_raw", lambda *_: ())
     monkeypatch.setattr(registry.features, "build", lambda *_: None)
     monkeypatch.setattr(registry, "cut_lineage", lambda df: df)
-    monkeypatch.setattr(model, "prepare", lambda _: model.Prepared(None, [], None, None, None))
-    monkeypatch.setattr(model, "fit_gbt", lambda _, params: seen.setdefault("boosting", params))
-    monkeypatch.setattr(model, "fit_forest", lambda _, params: seen.setdefault("forest", params))
+    monkeypatch.setattr(model, "prepare", lambda _: model.Prepared([], None, None, None, None))
+    monkeypatch.setattr(model, "fit_boosted", lambda _, growth, parts: seen.setdefault("boosted", growth))
+    monkeypatch.setattr(model, "fit_leafwise", lambda _, growth, parts: seen.setdefault("leafwise", growth))
     registry._prepared(spark, "any")
-    assert seen == {"boosting": model.BOOSTING, "forest": model.FOREST}
-    assert (model.BOOSTING["maxIter"], model.BOOSTING["maxDepth"]) == (1000, 8)
-    assert (model.FOREST["numTrees"], model.FOREST["maxDepth"]) == (100, 8)
-
-
-def test_boosting_goes_on_over_rounds_without_gain():
-    losses = [0.9, 0.95, 0.8, *[0.85] * 49, 0.7, *[0.75] * 60, 0.1]
-    assert model.best_round(losses[:2]) == (1, False)
-    assert model.best_round(losses[:60]) == (53, False)
-    assert model.best_round(losses) == (53, True)
-
-
-def test_a_longer_fit_has_the_trees_of_a_shorter_one(spark, monkeypatch):
-    rows = [(i, Vectors.dense(i % 7, i * 13 % 11), int(i * 13 % 11 + i % 7 > 9 or i % 17 == 0), i // 20) for i in range(400)]
-    train = spark.createDataFrame(rows, [S.KEY, "features", S.LABEL, S.DAY])
-    params = {**model.BOOSTING, "maxIter": 12, "maxDepth": 2}
-    seen = []
-    monkeypatch.setattr(model, "FIRST_ROUNDS", 3)
-    monkeypatch.setattr(model, "best_round", lambda losses: seen.append(losses) or (len(losses), False))
-    whole = model.fit_gbt(train, params)
-    assert [len(x) for x in seen] == [3, 6, 12] and whole.getNumTrees == 12
-    assert seen[1][:3] == pytest.approx(seen[0]) and seen[2][:6] == pytest.approx(seen[1])
+    assert seen == {"boosted": model.BOOSTING, "leafwise": model.LEAFWISE}
+    boosted, leafwise = model.BOOSTING, model.LEAFWISE
+    assert (boosted.rounds, boosted.depth, boosted.rate, boosted.rows, boosted.columns) == (1000, 8, 0.05, 0.8, 0.4)
+    assert (boosted.metric, boosted.patience, boosted.leaves) == ("auc", 50, None)
+    assert (leafwise.rounds, leafwise.depth, leafwise.rate, leafwise.columns) == (1000, 8, 0.05, 0.4)
+    assert (leafwise.leaves, leafwise.min_rows, leafwise.patience) == (63, 20, 50)

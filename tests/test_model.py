@@ -2,18 +2,18 @@
 
 import itertools
 import math
+import time
+from dataclasses import replace
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskweave import registry
 from riskweave import schema as S
 from riskweave.plans import explain, model
-from riskweave.session import scratch_path
-from riskweave.sources import catalog
+from riskweave.plans.ensemble import NODE, Ensemble
+from riskweave.session import cut_lineage, scratch_path
 
 EXPECTED = [
     S.KEY, "fraud_score", "fraud_predicted", "risk_tier", S.LABEL, "model_used", "is_exotic_browser",
@@ -23,14 +23,22 @@ EXPECTED = [
 
 @pytest.fixture(scope="module")
 def ready(spark, sf_dir):
-    return registry._prepared(spark, sf_dir)
+    """Both candidates with short training runs; test_configured_models.py holds the registered ones."""
+    feat = cut_lineage(registry.QUERIES["feat_final"](spark, sf_dir))
+    prepared = model.prepare(feat)
+    model.train_candidates(
+        prepared, replace(model.BOOSTING, rounds=20, depth=5), replace(model.LEAFWISE, rounds=20, leaves=9)
+    )
+    known, registry._trained = registry._trained, {(spark.sparkContext.applicationId, sf_dir): prepared}
+    yield prepared
+    registry._trained = known
 
 
 def test_split_and_comparison(spark, sf_dir, ready):
     n = ready.train.count() + ready.validation.count()
     assert ready.train.count() == int(n * 0.8)
-    table = registry.model_comparison(spark, sf_dir).collect()
-    assert [r["model"] for r in table] == [model.BOOSTED, model.FORESTED]
+    table = registry.model_comparison(spark, sf_dir).orderBy("position").collect()
+    assert [r["model"] for r in table] == [model.BOOSTED, model.LEAF_WISE]
     assert all(0.5 < r["roc_auc"] <= 1 and 0 < r["pr_auc"] <= 1 for r in table)
     best = registry.best_model(spark, sf_dir).first()
     assert best["roc_auc"] == max(r["roc_auc"] for r in table)
@@ -52,58 +60,88 @@ def test_importance_and_drill_through(spark, sf_dir, ready):
     assert sizes == sorted(sizes, reverse=True) and len({r[S.KEY] for r in drivers}) == 1
 
 
-@pytest.mark.parametrize("name", [model.BOOSTED, model.FORESTED])
+@pytest.mark.parametrize("name", [model.BOOSTED, model.LEAF_WISE])
 def test_contributions_add_up_to_the_score(ready, name):
     fitted = ready.fitted[name]
-    column = "rawPrediction" if name == model.BOOSTED else "probability"
-    scored = fitted.transform(ready.validation).select(S.KEY, vector_to_array(column)[1].alias("score"))
+    scored = model.score(fitted, ready.validation).select(S.KEY, F.log(F.col("score") / (1 - F.col("score"))).alias("margin"))
     total = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, b: a + b)
-    worst = explain.attribute(ready.validation, fitted).join(scored, S.KEY).agg(
-        F.max(F.abs(total - F.col("score"))), F.count(F.lit(1))).first()
-    assert worst[0] < 1e-9 and worst[1] == ready.validation.count()
-
-
-def test_shapley_values_by_definition():
-    """Two features, three leaves, every subset written out."""
-    inf = np.inf
-    leaves = [
-        explain.Leaf(1.0, np.array([0]), np.array([-inf]), np.array([0.5]), np.array([0.6])),
-        explain.Leaf(4.0, np.array([0, 1]), np.array([0.5, -inf]), np.array([inf, 2.0]), np.array([0.4, 0.25])),
-        explain.Leaf(9.0, np.array([0, 1]), np.array([0.5, 2.0]), np.array([inf, inf]), np.array([0.4, 0.75])),
-    ]
-
-    def expectation(row, known):
-        total = 0.0
-        for leaf in leaves:
-            weight = 1.0
-            for f, low, high, share in zip(leaf.features, leaf.low, leaf.high, leaf.share):
-                weight *= float(low < row[f] <= high) if f in known else share
-            total += weight * leaf.value
-        return total
-
-    x = np.array([[0.1, 3.0], [0.7, 1.0], [0.7, 5.0]])
-    got = explain.shapley_values(x, leaves)
+    worst = explain.attribute(ready.validation, fitted.trees).join(scored, S.KEY).agg(
+        F.max(F.abs(total - F.col("margin"))), F.count(F.lit(1))).first()
+    assert worst[0] < 1e-8 and worst[1] == ready.validation.count()
+
+
+def random_tree(rng, depth, n_features):
+    tree = np.zeros(1, dtype=NODE)
+    tree["feature"], tree["n"] = -1, 1000
+    open_nodes = [(0, depth)]
+    while open_nodes:
+        node, left = open_nodes.pop(0)
+        if not left or tree["n"][node] < 2 or rng.random() < 0.15 and node:
+            tree["value"][node] = rng.normal()
+            continue
+        tree["feature"][node], tree["threshold"][node] = rng.integers(n_features), round(rng.normal(), 1)
+        tree["left"][node], tree["right"][node] = len(tree), len(tree) + 1
+        pair = np.zeros(2, dtype=NODE)
+        pair["feature"] = -1
+        pair["n"][0] = rng.integers(1, tree["n"][node])
+        pair["n"][1] = tree["n"][node] - pair["n"][0]
+        open_nodes += [(len(tree), left - 1), (len(tree) + 1, left - 1)]
+        tree = np.concatenate([tree, pair])
+    return tree
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 8])
+def test_shapley_values_by_definition(depth):
+    """Every subset of five features, each expectation by walking the tree."""
+    rng, n = np.random.default_rng(depth), 5
+    trees = [random_tree(rng, depth, n) for _ in range(3)]
+    x = rng.normal(size=(4, n)).round(1)
+
+    def expectation(tree, row, known, node=0):
+        if tree["feature"][node] < 0:
+            return tree["value"][node]
+        f, pair = tree["feature"][node], (tree["left"][node], tree["right"][node])
+        if f in known:
+            return expectation(tree, row, known, pair[int(row[f] > tree["threshold"][node])])
+        return sum(tree["n"][c] / tree["n"][node] * expectation(tree, row, known, c) for c in pair)
+
+    got = explain.shapley_values(x, [explain.tree_leaves(t) for t in trees])
     for row, values in zip(x, got):
-        for j in range(2):
-            others = [k for k in range(2) if k != j]
-            value = 0.0
-            for size in range(len(others) + 1):
+        for j in range(n):
+            others, value = [k for k in range(n) if k != j], 0.0
+            for size in range(n):
                 for known in itertools.combinations(others, size):
-                    share = math.factorial(size) * math.factorial(1 - size) / 2
-                    value += share * (expectation(row, {*known, j}) - expectation(row, set(known)))
-            assert values[j] == pytest.approx(value)
+                    share = math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n)
+                    value += share * sum(expectation(t, row, {*known, j}) - expectation(t, row, set(known)) for t in trees)
+            assert values[j] == pytest.approx(value, abs=1e-10)
+    base = sum(explain.tree_leaves(t).base for t in trees)
+    assert base + got.sum(axis=1) == pytest.approx(Ensemble([], 0.0, trees).margins(x))
+
+
+def test_explaining_many_deep_trees_is_quick():
+    """200 trees of depth 8: linear in trees, leaves and depth."""
+    rng = np.random.default_rng(5)
+    trees = [explain.tree_leaves(random_tree(rng, 8, 40)) for _ in range(200)]
+    start = time.perf_counter()
+    explain.shapley_values(rng.normal(size=(100, 40)), trees)
+    assert time.perf_counter() - start < 30
 
 
 def test_encoding_and_storage(spark, ready):
-    df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "k string")
-    encoded, fitted = model.label_encode(df, ["k"])
+    df = spark.createDataFrame([("b", "x"), ("a", None), ("c", "y"), ("a", "x")], "k string, l string").repartition(3)
+    encoded, codes = model.label_encode(df, ["k", "l"])
+    assert encoded.columns == ["k", "l", "k_code", "l_code"]
     assert {(r["k"], r["k_code"]) for r in encoded.collect()} == {("a", 0), ("b", 1), ("c", 2)}
-    unseen = fitted.transform(spark.sql("SELECT 'zz' AS k")).first()["k_code"]
-    assert unseen == 3.0
-    path = scratch_path(spark, "pipeline")
-    whole = PipelineModel([*ready.pipeline.stages, ready.fitted[model.BOOSTED]])
-    catalog.save_model(whole, path)
-    assert len(catalog.load_model(path).stages) == 4
+    assert {(r["l"], r["l_code"]) for r in encoded.collect()} == {("x", 0), ("y", 1), (None, 2)}
+    assert model.encode(spark.sql("SELECT 'zz' AS k"), codes, ["k"]).first()["k_code"] == 3
+    path = scratch_path(spark, "model")
+    fitted = ready.fitted[model.BOOSTED]
+    fitted.save(path)
+    again = model.Fitted.load(spark, path)
+    assert again.name == model.BOOSTED and again.trees.features == ready.features
+    feat = cut_lineage(ready.validation.drop("x"))
+    scores = lambda m, df: sorted(r["score"] for r in model.score(m, df).collect())
+    assert scores(again, again.inputs(feat)) == scores(fitted, ready.validation)
 
 
 def test_weights(spark):
