@@ -160,3 +160,27 @@ def pseudo_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             S.AMOUNT: "value",
         },
     )
+
+
+#: Two small ensembles over columns of the feature table, for evaluation without training: per
+#: tree its nodes as (feature, threshold, left, right, gain, rows) or (value, rows) for a leaf.
+ENSEMBLE_COLUMNS = ["C1", "D2", "is_night_transaction", "card1_txn_count_7d", "has_identity"]
+ENSEMBLES = {
+    "mixed": (
+        -0.5,
+        [
+            [("C1", 3.5, 1, 2, 8.0, 100), (-0.75, 60), ("D2", 40.5, 3, 4, 2.5, 40), (-0.125, 30), (0.875, 10)],
+            [("is_night_transaction", 0.5, 1, 2, 3.0, 90), (-0.0625, 70), (0.375, 20)],
+            [("card1_txn_count_7d", 2.5, 1, 2, 1.5, 80), (0.25, 16), (-0.1875, 64)],
+        ],
+    ),
+    "stumps": (
+        0.25,
+        [
+            [("C1", 2.5, 1, 2, 4.0, 64), (-0.5, 16), (0.5, 48)],
+            [("D2", 30.5, 1, 2, 2.0, 64), (0.25, 32), (-0.75, 32)],
+            [("C1", 4.5, 1, 2, 1.0, 64), (-0.25, 48), (0.125, 16)],
+            [("has_identity", 0.5, 1, 2, 5.0, 64), (0.0625, 56), (0.5, 8)],
+        ],
+    ),
+}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.scalars import pct2
+from ..session import cut_lineage
 
 
 def not_null_violations(df: DataFrame, columns: list[str] = S.REQUIRED) -> DataFrame:
@@ -53,13 +54,33 @@ def assert_class_share(df: DataFrame, low_pct: float, high_pct: float, label: st
         raise AssertionError(f"positive class is {share} %, expected {low_pct} to {high_pct} %")
 
 
-def quality_report(df: DataFrame, columns: list[str] = S.REQUIRED, key: str = S.KEY) -> DataFrame:
-    """One row per check with the number of offending rows; one pass plus the key check."""
+def watch(df: DataFrame, columns: list[str] = S.REQUIRED) -> tuple[DataFrame, Observation]:
+    """``df`` and what its checks find in the rows of the first job that runs over it, a write for
+    instance, without a scan of their own: offending rows by check."""
+    found = Observation()
     checks = [F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in columns]
     checks.append(F.count_if(F.col(S.AMOUNT) <= -1).alias("log_domain:" + S.AMOUNT))
-    nulls = df.agg(*checks)
-    rows = nulls.unpivot([], nulls.columns, "check", "violations")
-    unique = duplicate_keys(df, key).agg(
+    return df.observe(found, *checks), found
+
+
+def assert_watched(found: Observation) -> None:
+    """Raise when a watched check found offending rows."""
+    bad = {check: n for check, n in found.get.items() if n}
+    if bad:
+        raise AssertionError(f"offending rows by check: {bad}")
+
+
+def quality_report(df: DataFrame, columns: list[str] = S.REQUIRED, key: str = S.KEY) -> DataFrame:
+    """One row per check with the number of offending rows.
+
+    All are counted while the rows are written once, but for unique keys, which need the keys of
+    all rows together and read that column of the written copy.
+    """
+    watched, found = watch(df, columns)
+    unique = duplicate_keys(cut_lineage(watched).select(key), key).agg(
         F.lit(f"unique:{key}").alias("check"), F.count(F.lit(1)).alias("violations")
     )
+    # bounded: one row per check
+    counts = ", ".join(f"('{check}', {n}L)" for check, n in found.get.items())
+    rows = df.sparkSession.sql(f"SELECT * FROM VALUES {counts} AS checks(check, violations)")
     return rows.unionByName(unique).withColumn("passed", F.col("violations") == 0)

@@ -210,6 +210,41 @@ def _velocity(source: str, strict: bool = False) -> str:
 ) framed"""
 
 
+def _tree(nodes: list[tuple], at: int = 0) -> str:
+    """What a row gets from one tree of fixed nodes."""
+    node = nodes[at]
+    if len(node) == 2:
+        return f"CAST({node[0]} AS DOUBLE)"
+    return f"CASE WHEN {node[0]} <= {node[1]} THEN {_tree(nodes, node[2])} ELSE {_tree(nodes, node[3])} END"
+
+
+def _margin(name: str) -> str:
+    start, trees = X.ENSEMBLES[name]
+    return " + ".join([f"CAST({start} AS DOUBLE)", *map(_tree, trees)])
+
+
+def _stump_parts(feature: str) -> str:
+    """What the stumps on one feature add to a row's margin beyond their mean over the rows."""
+    parts = []
+    for nodes in X.ENSEMBLES["stumps"][1]:
+        root, *leaves = nodes
+        if root[0] == feature:
+            parts.append(f"({_tree(nodes)} - {sum(v * n for v, n in leaves) / root[5]!r})")
+    return " + ".join(parts) or "CAST(0 AS DOUBLE)"
+
+
+def _stored_compared() -> str:
+    """Areas under both curves of the two fixed ensembles, from pairs and steps by definition."""
+    return f"""
+SELECT position, model, sum(pos * (2 * (n - fp) + neg)) / (2.0 * any_value(p) * any_value(n)) AS roc_auc,
+  sum(pos * (tp / (tp + fp))) / any_value(p) AS pr_auc
+FROM (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER g AS p, sum(neg) OVER g AS n
+  FROM (SELECT position, model, score, count(*) FILTER ({S.LABEL} = 1) AS pos, count(*) FILTER ({S.LABEL} = 0) AS neg
+    FROM stored_scores GROUP BY position, model, score) c
+  WINDOW w AS (PARTITION BY position ORDER BY score DESC), g AS (PARTITION BY position)) t
+GROUP BY position, model"""
+
+
 _VIEWS = {
     "raw_transaction": _raw_transaction(),
     "raw_identity": _raw_identity(),
@@ -237,8 +272,18 @@ FROM int_joined""",
 FROM parts WHERE part = 'train'""",
 }
 
+_VIEWS["stored_scores"] = " UNION ALL ".join(
+    f"SELECT {i} AS position, '{candidate}' AS model, *, 1 / (1 + exp(-({_margin(name)}))) AS score FROM feat_final"
+    for i, (name, candidate) in enumerate((("mixed", "boosted_trees"), ("stumps", "leafwise_trees")))
+)
+_VIEWS["stump_parts"] = " UNION ALL ".join(
+    f"SELECT {S.KEY}, '{c}' AS feature, {_stump_parts(c)} AS contribution FROM feat_final" for c in X.ENSEMBLE_COLUMNS
+)
+
 # views each view reads
 _NEEDS = {
+    "stored_scores": ["feat_final"],
+    "stump_parts": ["feat_final"],
     "scores": ["raw_transaction"],
     "stg_transaction": ["raw_transaction"],
     "stg_identity": ["raw_identity"],
@@ -419,6 +464,26 @@ def statements() -> dict[str, str]:
         "stg_transaction", "stg_identity", "int_joined", "feat_time", "feat_velocity", "feat_final")}
     return {
         **simple,
+        "load_files_by_header": _with(
+            f"SELECT * REPLACE (CASE WHEN {S.KEY} % 2 = 1 THEN dist2 END AS dist2) FROM raw_transaction", "raw_transaction"),
+        "layered_identity": _with("SELECT * FROM stg_identity", "stg_identity"),
+        "stored_comparison": _with(
+            f"SELECT position, model, round(roc_auc, 12) AS roc_auc, round(pr_auc, 10) AS pr_auc FROM ({_stored_compared()}) a",
+            "stored_scores"),
+        "stored_best": _with(
+            f"SELECT position, model FROM ({_stored_compared()}) a ORDER BY roc_auc DESC, position LIMIT 1", "stored_scores"),
+        "stored_predictions": _with(
+            f"""SELECT {S.KEY}, round(score, 12) AS fraud_score, CAST(score >= 0.5 AS INTEGER) AS fraud_predicted,
+  CASE WHEN score <= 0 THEN NULL WHEN score <= 0.3 THEN 'LOW' WHEN score <= 0.6 THEN 'MEDIUM' WHEN score <= 0.8 THEN 'HIGH'
+    WHEN score <= 1 THEN 'CRITICAL' END AS risk_tier,
+  {S.LABEL}, model AS model_used, is_exotic_browser, no_browser_os_signal, device_type, browser_family, os_version_group,
+  device_manufacturer, p_email_group, txn_hour, txn_time_bucket, card1_txn_count_7d, amt_to_card_avg_ratio
+FROM stored_scores WHERE position = 0""", "stored_scores"),
+        "stored_attributions": _with(
+            f"SELECT {S.KEY}, feature, round(contribution, 9) + 0.0 AS contribution FROM stump_parts", "stump_parts"),
+        "stored_attribution_summary": _with(
+            "SELECT feature, round(avg(abs(contribution)), 9) + 0.0 AS mean_abs_contribution FROM stump_parts GROUP BY feature",
+            "stump_parts"),
         "load_normalized_transactions": _with("SELECT * FROM raw_transaction", "raw_transaction"),
         "load_row_counts": _with(
             "SELECT 'raw_transaction' AS table_name, count(*) AS n FROM raw_transaction"

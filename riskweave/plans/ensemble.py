@@ -41,6 +41,19 @@ def leaves(tree: np.ndarray, x: np.ndarray) -> np.ndarray:
     return _ends(tree, len(x), lambda node, rows: x[rows, tree["feature"][node]] <= tree["threshold"][node])
 
 
+def table_of(nodes: list[tuple], features: list[str]) -> np.ndarray:
+    """A node table from (feature, threshold, left, right, gain, rows) and (value, rows) tuples."""
+    tree = np.zeros(len(nodes), dtype=NODE)
+    for i, node in enumerate(nodes):
+        if len(node) == 2:
+            tree["feature"][i], tree["value"][i], tree["n"][i] = -1, *node
+        else:
+            tree["feature"][i] = features.index(node[0])
+            for name, value in zip(("threshold", "left", "right", "gain", "n"), node[1:]):
+                tree[name][i] = value
+    return tree
+
+
 @dataclass
 class Ensemble:
     """Trees whose values add up, with ``start``, to the log-odds of the positive class.

@@ -14,7 +14,7 @@ from .operators import quality as Q
 from .operators import rates as C
 from .operators.rolling import velocity
 from .operators.selection import seeded_sample, split_point
-from .plans import eda, explain, features, kpis, model
+from .plans import eda, ensemble, explain, features, kpis, model
 from .plans.staging import stg_identity, stg_transaction
 from .session import cut_lineage, scratch_path
 from .sources import catalog, landing
@@ -76,6 +76,27 @@ def load_normalized_transactions(spark, sf):
     return landing.load_by_name(_landed(spark, sf), raw.schema)
 
 
+@query
+def load_files_by_header(spark, sf):
+    """Two sets of files: columns in opposite orders, one of them without dist2."""
+    raw = X.raw_transaction(spark, sf)
+    path = scratch_path(spark, "landing")
+    landing.write_landing(raw.filter(f"{S.KEY} % 2 = 1"), f"{path}/odd")
+    even = raw.filter(f"{S.KEY} % 2 = 0").drop("dist2")
+    landing.write_landing(even.select(*[F.col(c).alias(c.lower()) for c in reversed(even.columns)]), f"{path}/even", "null")
+    return landing.load_by_name(landing.read_landing(spark, [f"{path}/odd", f"{path}/even"]), raw.schema)
+
+
+@query
+def layered_identity(spark, sf):
+    """Raw layer to staging layer, each table found through its layer."""
+    catalog.ensure_layers(spark, scratch_path(spark, "layers"))
+    catalog.materialize(X.raw_identity(spark, sf), "raw_identity")
+    staged = stg_identity(catalog.source(spark, "raw_identity"))
+    catalog.materialize(staged, "stg_identity", check=lambda t: Q.assert_no_rows(Q.duplicate_keys(t)))
+    return catalog.ref(spark, "stg_identity")
+
+
 @query
 def column_catalog(spark, sf):
     landed = _landed(spark, sf)
@@ -134,7 +155,7 @@ named("dq_null_violations", lambda s, sf: Q.not_null_violations(features.build(*
 named("dq_null_violations_raw", lambda s, sf: Q.not_null_violations(X.raw_transaction(s, sf), ["card2", "addr1", "P_emaildomain"]))
 named("dq_duplicate_keys", lambda s, sf: Q.duplicate_keys(features.build(*_raw(s, sf))))
 named("dq_duplicate_keys_raw", lambda s, sf: Q.duplicate_keys(X.raw_transaction(s, sf), "card1"))
-named("dq_report", lambda s, sf: Q.quality_report(cut_lineage(features.build(*_raw(s, sf)))))
+named("dq_report", lambda s, sf: Q.quality_report(features.build(*_raw(s, sf))))
 named("dq_class_share", lambda s, sf: Q.class_share(X.raw_transaction(s, sf)))
 
 
@@ -197,6 +218,58 @@ def published_threshold_table(spark, sf):
     return spark.read.parquet(path)
 
 
+# ---------------------------------------------------------------- stored ensembles
+
+def _stored(name: str) -> model.Fitted:
+    """A fixed ensemble under the name of a candidate, so that its importance is measured alike."""
+    start, trees = X.ENSEMBLES[name]
+    tables = [ensemble.table_of(nodes, X.ENSEMBLE_COLUMNS) for nodes in trees]
+    candidate = {"mixed": model.BOOSTED, "stumps": model.LEAF_WISE}[name]
+    return model.Fitted(candidate, ensemble.Ensemble(X.ENSEMBLE_COLUMNS, start, tables), None)
+
+
+def _stored_input(spark: SparkSession, sf: str) -> DataFrame:
+    feat = cut_lineage(features.build(*_raw(spark, sf)))
+    return model.assemble(feat, X.ENSEMBLE_COLUMNS, [])
+
+
+def _stored_scores(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    rows = _stored_input(spark, sf)
+    return {m.name: model.score(m, rows) for m in map(_stored, X.ENSEMBLES)}
+
+
+@query
+def stored_comparison(spark, sf):
+    found = model.compare(_stored_scores(spark, sf))
+    return found.withColumns({"roc_auc": F.round("roc_auc", 12), "pr_auc": F.round("pr_auc", 10)})
+
+
+@query
+def stored_best(spark, sf):
+    return model.pick_best(model.compare(_stored_scores(spark, sf))).select("position", "model")
+
+
+@query
+def stored_predictions(spark, sf):
+    fitted = _stored("mixed")
+    found = model.predictions(_stored_scores(spark, sf)[fitted.name], fitted.name)
+    return found.withColumn("fraud_score", F.round("fraud_score", 12))
+
+
+def _stored_attributions(spark: SparkSession, sf: str) -> DataFrame:
+    fitted = _stored("stumps")
+    rows = explain.attribute(_stored_input(spark, sf), fitted.trees)
+    return explain.attribution_rows(rows, fitted.trees.features)
+
+
+def _nine(name: str):
+    return (F.round(name, 9) + 0.0).alias(name)
+
+
+named("stored_attributions", lambda s, sf: _stored_attributions(s, sf).select(S.KEY, "feature", _nine("contribution")))
+named("stored_attribution_summary", lambda s, sf: explain.attribution_summary(_stored_attributions(s, sf)).select("feature", _nine("mean_abs_contribution")))
+
+
 # ---------------------------------------------------------------- trained models
 
 _trained: dict[tuple[str, str], model.Prepared] = {}

@@ -1,7 +1,12 @@
-"""Landing files: delimited text with inconsistent NULL spellings, loaded by column name."""
+"""Landing files: delimited text with inconsistent NULL spellings, read by header, loaded by name."""
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +21,51 @@ _WHOLE, _DECIMAL, _BOOLEAN, _TEXT, _LONG = 1, 2, 4, 8, 16
 _NAMED = {"bigint": T.LongType(), "decimal(38,0)": T.DecimalType(38, 0), "double": T.DoubleType(), "boolean": T.BooleanType(), "string": T.StringType()}
 
 
+def headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(header, files): the different first lines of the files at ``path`` and who has them.
+
+    Lines are passed through tasks as they are, only the first of every file goes on; a file
+    without a line has no header.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = None
+        for batch in batches:
+            files = batch.column(1).to_pylist()
+            rows = [i for i, file in enumerate(files) if file != (files[i - 1] if i else seen)]
+            seen = files[-1] if files else seen
+            yield batch.take(pa.array(rows, pa.int64())).select([0, 1])
+
+    found = lines.filter("start = 0").mapInArrow(first, "header string, file string")
+    return found.groupBy("header").agg(F.sort_array(F.collect_set("file")).alias("files")).orderBy("header")
+
+
 def read_landing(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Every column as text, NULL spellings resolved.  Compressed files are read by extension.
 
-    A gzip file cannot be split, so land many moderate files rather than one large one.  A file whose
-    header differs from the first one's raises: it would be read into the wrong columns.
+    Each file is read by its own header: files of one header together, then all are united by
+    column name regardless of case, NULL where a file lacks a column.  Names are spelt, and stand,
+    as in the first header in sorted order that has them.  A header is one line.  A gzip file
+    cannot be split, so land many moderate files rather than one large one.
     """
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, inferSchema=False, enforceSchema=False)
-    return normalize_nulls(reader.csv(path))
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, enforceSchema=False)
+    # bounded: one row per different header, with the paths of the files that are read
+    groups = headers(spark, path).collect()
+    if not groups:
+        return normalize_nulls(reader.csv(path))
+    parts, names = [], {}
+    for group in groups:
+        columns = next(csv.reader([group["header"]]))
+        if len({c.lower() for c in columns}) < len(columns):
+            raise ValueError(f"columns of {group['files'][0]} differ only by case: {columns}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        parts.append(normalize_nulls(reader.schema(schema).csv([unquote(f) for f in group["files"]])))
+        names |= {c.lower(): names.get(c.lower(), c) for c in columns}
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part, allowMissingColumns=True)
+    return united.toDF(*[names[c.lower()] for c in united.columns])
 
 
 def write_landing(df: DataFrame, path: str, null_token: str = "NA", compression: str = "gzip") -> None:
