@@ -33,6 +33,8 @@ from pyspark.sql.types import (
 
 #: Words kept with their tokens in one Python worker, and the longest word kept.
 CACHE_WORDS = 500_000
+#: Arcs kept in a worker.
+CACHE_ARCS = 1_000_000
 CACHE_WORD_LENGTH = 48
 
 
@@ -61,6 +63,8 @@ class Automaton:
             body = token.removesuffix(end)
             for k in range(1, len(body) + 1):
                 self.starts.setdefault(body[:k], self.ids.get(body[:k], -1))
+        #: the arcs asked for so far, by state and token
+        self.arcs = _Known(lambda at: self.allows(*divmod(at, size)), CACHE_ARCS)
 
     def _compile(self, merges: list[tuple[int, int, int]]) -> None:
         target = [0] * len(self.labels)
@@ -129,7 +133,7 @@ class Automaton:
         return self._path(symbols, end)
 
     def _path(self, symbols: str, end: str) -> list[int]:
-        n, starts, allows = len(symbols), self.starts, self.allows
+        n, starts, arcs, size = len(symbols), self.starts, self.arcs, len(self.labels)
         state, origin, arc = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         state[0] = 0
         for i in range(n):
@@ -142,7 +146,7 @@ class Automaton:
                     break
                 if j == n and end:
                     token = self.ids.get(symbols[i:] + end, -1)
-                if token >= 0 and state[j] < 0 and allows(here, token):
+                if token >= 0 and state[j] < 0 and arcs[here * size + token]:
                     state[j], origin[j], arc[j] = self.target[token], i, token
         path, j = [], n
         while j:
@@ -173,7 +177,7 @@ class WordTokenizer:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"]).findall
         self.symbols = byte_symbols()
-        self.known = _Known(self._word)
+        self.known = _Known(self._word, CACHE_WORDS)
 
     def _word(self, word: str) -> bytes:
         symbols = "".join([self.symbols[b] for b in word.encode("utf-8")])
@@ -202,18 +206,18 @@ class WordTokenizer:
 
 
 class _Known(dict):
-    """Words with their tokens; emptied when full, so that memory stays bounded."""
+    """Results by key, of at most ``limit`` keys: emptied when full, so that memory stays bounded."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, limit: int):
+        self.make, self.limit = make, limit
 
-    def __missing__(self, word: str) -> bytes:
-        tokens = self.make(word)
-        if len(word) <= CACHE_WORD_LENGTH:
-            if len(self) >= CACHE_WORDS:
+    def __missing__(self, key):
+        found = self.make(key)
+        if not isinstance(key, str) or len(key) <= CACHE_WORD_LENGTH:
+            if len(self) >= self.limit:
                 self.clear()
-            self[word] = tokens
-        return tokens
+            self[key] = found
+        return found
 
 
 @cache

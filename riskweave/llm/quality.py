@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
@@ -41,41 +41,44 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     Cells are of words, of the marks between words, and of whether words are in capitals; their
     values grow with the logarithm of their number, and marks and capitals with their share.
     """
+    found = [_cells(texts[a:b], a) for a, b in chunks(texts)]
+    none = np.zeros(0, np.int32), np.zeros(0, np.uint16), np.zeros(0)
+    return tuple(map(np.concatenate, zip(none, *found)))
+
+
+def _cells(texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`features` of one chunk of texts, numbered from ``first``."""
     owner, cell, share = [], [], []
-    for a, b in chunks(texts):
-        joined = b" ".join(texts[a:b])
-        begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts[a:b]])]).astype(np.int64)
-        raw = np.frombuffer(joined, dtype=np.uint8)
-        low = np.frombuffer(joined.translate(_LOWER), dtype=np.uint8)
-        part = _PART[raw]
-        for kind, inside in ((0, part), (1, ~part & ~_SPACE[raw])):
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
-            starts, ends = edge[::2], edge[1::2]
-            if not len(starts):
-                continue
-            at = 0
-            while at < len(starts):
-                to = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK_BYTES)))
-                first = starts[at]
-                h = span_hashes(low[first : ends[to - 1]], starts[at:to] - first, ends[at:to] - first)
-                cell.append(((h + np.uint64(kind)) >> np.uint64(48)).astype(np.int64))
-                owner.append(a + np.searchsorted(begin, starts[at:to], side="right") - 1)
-                share.append(np.full(to - at, kind))
-                if kind == 0:
-                    capital = (raw[starts[at:to]] < 91) & (raw[ends[at:to] - 1] < 91) & (raw[starts[at:to]] > 64)
-                    capital &= ends[at:to] - starts[at:to] > 1
-                    cell.append(np.full(int(capital.sum()), 1))
-                    owner.append(owner[-1][capital])
-                    share.append(np.full(int(capital.sum()), 1))
-                at = to
+    joined = b" ".join(texts)
+    begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
+    raw = np.frombuffer(joined, dtype=np.uint8)
+    low = np.frombuffer(joined.translate(_LOWER), dtype=np.uint8)
+    part = _PART[raw]
+    for kind, inside in ((0, part), (1, ~part & ~_SPACE[raw])):
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+        starts, ends = edge[::2], edge[1::2]
+        at = 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK_BYTES)))
+            base = starts[at]
+            h = span_hashes(low[base : ends[to - 1]], starts[at:to] - base, ends[at:to] - base)
+            cell.append(((h + np.uint64(kind)) >> np.uint64(48)).astype(np.int64))
+            owner.append(np.searchsorted(begin, starts[at:to], side="right") - 1)
+            share.append(np.full(to - at, kind))
+            if kind == 0:
+                capital = (raw[starts[at:to]] < 91) & (raw[ends[at:to] - 1] < 91) & (raw[starts[at:to]] > 64)
+                capital &= ends[at:to] - starts[at:to] > 1
+                cell.append(np.full(int(capital.sum()), 1))
+                owner.append(owner[-1][capital])
+                share.append(np.full(int(capital.sum()), 1))
+            at = to
     if not cell:
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0)
+        return np.zeros(0, np.int32), np.zeros(0, np.uint16), np.zeros(0)
     owner, cell, share = np.concatenate(owner), np.concatenate(cell), np.concatenate(share)
     key, place, count = np.unique(owner * CELLS + cell, return_index=True, return_counts=True)
     total = np.bincount(owner, minlength=len(texts))[key // CELLS]
     value = np.where(share[place] > 0, 10.0 * count / total, np.log2(1.0 + count) * 0.5)
-    return key // CELLS, key % CELLS, value
+    return (first + key // CELLS).astype(np.int32), (key % CELLS).astype(np.uint16), value
 
 
 @dataclass(frozen=True)
@@ -132,13 +135,18 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int) -> OrdinalModel:
     return OrdinalModel(weights, gaps[0] + np.concatenate([[0], np.cumsum(np.exp(gaps[1:]))]))
 
 
+def _grade() -> Column:
+    """The grade of a label: null, as unknown, where a null leaves it open."""
+    return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+
+
 def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, text, grade): 0 for toxic texts, 1 for poor ones, 2 for good ones.
 
-    Rows without a text or with a null label are left out.
+    Rows without a text are left out, and labels whose nulls leave the grade open: a null toxic
+    with quality 1, a null quality without toxic 1.
     """
-    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
-    rated = labels.select(F.col("doc_id").alias("key"), grade.alias("grade")).filter("grade IS NOT NULL AND key IS NOT NULL")
+    rated = labels.select(F.col("doc_id").alias("key"), _grade().alias("grade")).filter("grade IS NOT NULL AND key IS NOT NULL")
     rated = rated.groupBy("key").agg(F.min("grade").alias("grade"))
     fits = F.octet_length("text") <= SAMPLE_BYTES
     present = docs.filter(F.col("text").isNotNull() & fits).select(F.col("doc_id").alias("key")).distinct()
@@ -152,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     with probability one half.  Texts that do not fit into the sample any more are left out, smaller
     ones after them are not.  Of texts that share a key any may be learned from.
 
-    Raises ValueError if documents and labels are given, but no document that fits has a label."""
+    Raises ValueError if documents and labels that say a grade are given, but no document that fits
+    has such a label."""
     texts, grades, size = [], [], 0
     for r in graded(docs, labels).orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(SAMPLE_TEXTS).toLocalIterator():
         value = r["text"].encode("utf-8")
@@ -162,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
         grades.append(r["grade"])
         size += len(value)
     if not texts:
-        if not docs.filter("text IS NOT NULL").isEmpty() and not labels.filter("quality IS NOT NULL OR toxic IS NOT NULL").isEmpty():
+        if not docs.filter("text IS NOT NULL").isEmpty() and not labels.filter(_grade().isNotNull()).isEmpty():
             raise ValueError("no document that fits into the sample has a label")
         return OrdinalModel(np.zeros(CELLS), np.zeros(2))
     return fit(texts, np.array(grades, dtype=np.int64), 3)
