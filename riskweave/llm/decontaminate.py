@@ -32,6 +32,8 @@ _PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 _FOLD_BITS = 22
 #: Cells that a chunk's band counts are hashed into.
 _SPOTS = 1 << 20
+#: Shared q-grams looked at together.
+HITS = 1 << 21
 
 
 def plain(text: str) -> bytes:
@@ -82,19 +84,48 @@ class _Index:
         self.maybe = np.zeros(1 << _FOLD_BITS, dtype=bool)
         self.maybe[_fold(self.code)] = True
 
-    def hits(self, buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in buffer, item, place in item) of every shared q-gram."""
-        none = np.zeros(0, dtype=np.int64)
+    def hits(self, buffer: np.ndarray) -> Iterator[tuple[float, float, np.ndarray, np.ndarray, np.ndarray]]:
+        """(from, to, place in buffer, item, place in item): stretches of the buffer and every shared
+        q-gram that a band of diagonals beginning in the stretch can hold.
+
+        One stretch, unless the text repeats q-grams of the items so often that there are more than
+        HITS; then as many as keep to that, each at least as long as an item.
+        """
         if len(buffer) < Q or not len(self.code):
-            return none, none, none
+            return
         codes = _grams(buffer)
         at = np.flatnonzero(self.maybe[_fold(codes)])
         k = np.minimum(np.searchsorted(self.code, codes[at]), len(self.code) - 1)
         same = self.code[k] == codes[at]
         at, k = at[same], k[same]
         n = self.stop[k] - self.start[k]
-        entry = np.repeat(self.start[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(at, n), self.item[entry], self.place[entry]
+        before = np.concatenate([[0], np.cumsum(n)])
+        width = 2 * int(self.edits.max(initial=0)) + 2
+        margin = max(map(len, self.texts)) + width
+
+        def held(low: float, high: float) -> slice:
+            return slice(*np.searchsorted(at, [low - width, high + margin]).tolist())
+
+        def expanded(own: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            m = n[own]
+            entry = np.repeat(self.start[k[own]] - np.cumsum(m) + m, m) + np.arange(m.sum())
+            return np.repeat(at[own], m), self.item[entry], self.place[entry]
+
+        if before[-1] <= HITS:
+            yield -np.inf, np.inf, *expanded(slice(None))
+            return
+        low = -np.inf
+        while low < len(buffer):
+            step = margin
+            while True:
+                high = max(low, -margin) + 2 * step
+                own = held(low, high)
+                if high >= len(buffer) or before[own.stop] - before[own.start] > HITS:
+                    break
+                step *= 2
+            high = max(low, -margin) + step if step > margin or high < len(buffer) else np.inf
+            yield low, high, *expanded(held(low, high))
+            low = high
 
 
 def banded_distance(item: bytes, text: bytes, low: int, high: int, limit: int) -> tuple[int, int, int] | None:
@@ -130,9 +161,15 @@ def banded_distance(item: bytes, text: bytes, low: int, high: int, limit: int) -
 def _candidates(index: _Index, buffer: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, item, first and last diagonal, first place) of each band that reaches its bound,
     places and diagonals in the document; a run of adjoining bands is one candidate."""
-    at, item, place = index.hits(buffer)
-    if not len(at):
-        return
+    for low, high, at, item, place in index.hits(buffer):
+        if len(at):
+            yield from _bands(index, starts, low, high, at, item, place)
+
+
+def _bands(
+    index: _Index, starts: np.ndarray, begin: float, end: float, at: np.ndarray, item: np.ndarray, place: np.ndarray
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """:func:`_candidates` of the bands that begin from ``begin`` on and before ``end``."""
     doc = np.searchsorted(starts, at, side="right") - 1
     own = at - starts[doc]
     # a q-gram may not reach over the end of its document: the separator byte is in no item
@@ -160,6 +197,8 @@ def _candidates(index: _Index, buffer: np.ndarray, starts: np.ndarray) -> Iterat
     first = np.flatnonzero(new)
     count = np.add.reduceat(once.astype(np.int64), first)
     full = count >= index.bound[item2[first]]
+    places = starts[doc2[first]] + key[first] * (index.edits[item2[first]] + 1)
+    full &= (places >= begin) & (places < end)
     last = None
     for i in first[full].tolist():
         d, t, s = int(doc2[i]), int(item2[i]), int(key[i])
@@ -182,7 +221,7 @@ def find_leaks(
     """(doc_id, item_id, start, end, edits, n_bytes): stretches of documents within the edit budget
     of a benchmark item, as byte places in the plain text; overlapping ones of an item are one row.
 
-    Null and empty texts and items, and items too short to tell, match nothing.  Repeated rows are
+    Keys are whole numbers.  Null and empty texts and items, and items too short to tell, match nothing.  Repeated rows are
     reported alike; rows of ``docs`` that share a key are searched each.  An empty side gives no rows.
     """
     return _leaks(docs, benchmark, key, text, item_key, item_text, rate).drop("row")
@@ -245,7 +284,7 @@ def leaks_in(index: _Index, texts: list[bytes]) -> list[tuple[int, int, int, int
     """(place of the text, item id, start, end, edits, item bytes) of every leak in these texts."""
     buffer = np.frombuffer(b"\0".join(texts), dtype=np.uint8)
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])[:-1]]).astype(np.int64)
-    out: list[tuple[int, int, int, int, int, int]] = []
+    rows: list[tuple[int, int, int, int, int, int]] = []
     for d, t, low, high in _candidates(index, buffer, starts):
         item, limit, text = index.texts[t], int(index.edits[t]), texts[d]
         at = max(0, low - limit)
@@ -257,12 +296,14 @@ def leaks_in(index: _Index, texts: list[bytes]) -> list[tuple[int, int, int, int
             found = banded_distance(item, part, low - limit - at, high + limit - at, limit)
         if found:
             edits, start, end = found
-            row = (d, index.ids[t], at + start, at + end, edits, len(item))
-            if out and out[-1][:2] == row[:2] and row[2] < out[-1][3]:
-                if row[4] < out[-1][4]:
-                    out[-1] = row
-            else:
-                out.append(row)
+            rows.append((d, index.ids[t], at + start, at + end, edits, len(item)))
+    out: list[tuple[int, int, int, int, int, int]] = []
+    for row in sorted(rows):
+        if out and out[-1][:2] == row[:2] and row[2] < out[-1][3]:
+            if row[4] < out[-1][4]:
+                out[-1] = row
+        else:
+            out.append(row)
     return out
 
 

@@ -82,13 +82,24 @@ def card(text: str, key: bytes) -> str | None:
     return _refill(text, body + str(-luhn_sum(body + "0") % 10))
 
 
+# fixed values: international calling codes of one and two digits; all others have three
+SHORT_CODES = {
+    "1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+    "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66",
+    "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+}
+
+
 def phone(text: str, key: bytes) -> str | None:
-    """A country code (kept) and 7 to 12 more digits."""
-    head, tail = re.match(r"(\+\d{1,3}|)(.*)", text, re.S).groups()
-    n = len(digits := _digits(tail))
-    if not 7 <= n <= 12:
+    """A country code (kept) and 6 to 12 more digits, 7 without a code; the pseudonym depends on the
+    digits alone, not on what separates them."""
+    digits, code = _digits(text), ""
+    if text.startswith("+"):
+        code = next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3])
+    n = len(digits) - len(code)
+    if not (6 if code else 7) <= n <= 12:
         return None
-    return head + _refill(tail, f"{feistel(int(digits), 10**n, key, f'phone{head}{n}'):0{n}d}")
+    return _refill(text, f"{code}{feistel(int(digits[len(code):]), 10**n, key, f'phone{code}{n}'):0{n}d}")
 
 
 def social(text: str, key: bytes) -> str | None:
@@ -185,11 +196,11 @@ KINDS: list[tuple[str, str, Callable[[str, bytes], str | None]]] = [
     ("email", r"(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", email),
     ("secret", r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{64}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{32})(?![0-9A-Za-z])", secret),
     ("account", r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])", account),
-    ("card", r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)", card),
+    ("card", r"(?<![\w.+])\d(?:[ -]?\d){12,18}(?!\w)", card),
     ("address", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", address),
     ("social", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", social),
-    ("date", r"(?<![\w./-])(?:\d{4}([-./])\d{1,2}\1\d{1,2}|\d{1,2}([-./])\d{1,2}\2\d{4})(?![\w/-]|\.\d)", date),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}|\+\d{8,15}"
+    ("date", r"(?<![\w./-])(?:\d{4}([-./])\d{1,2}\1\d{1,2}|\d{1,2}([-./])\d{1,2}\2\d{4})(?:(?=T\d\d:)|(?![\w/-]|\.\d))", date),
+    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}(?:[ .-]\d{2,5})?[ .-]\d{6,9}(?!\d)|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}|\+\d{8,15}"
               r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)", phone),
 ]
 
@@ -213,6 +224,19 @@ _SPACE = re.compile(r"\s")
 REACH = 96
 
 
+#: The ways in which the digits of a card are put into groups.
+_GROUPED = re.compile(r"\d{13,19}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,4}(?:[ -]\d{1,3})?")
+
+
+def _readings(kind: str, text: str) -> Iterator[str]:
+    """``text`` and, for cards, what is left when groups of digits behind it belong to something else."""
+    yield text
+    if kind == "card":
+        for end in range(len(text) - 1, 12, -1):
+            if text[end] in " -" and _GROUPED.fullmatch(text, 0, end):
+                yield text[:end]
+
+
 @lru_cache(maxsize=50_000)
 def _pseudonym(kind: str, text: str, key: bytes) -> str | None:
     return _MAKE[kind](text, key)
@@ -235,10 +259,11 @@ def pseudonymize_text(text: str, key: bytes) -> tuple[str, dict[str, int]]:
         at = found.start()
         for kind, single in _SINGLE.items():  # the first kind whose check holds counts
             match = single.match(text, at)
-            new = match and _pseudonym(kind, match.group(), key)
+            tried = ((old, _pseudonym(kind, old, key)) for old in _readings(kind, match.group())) if match else ()
+            old, new = next((pair for pair in tried if pair[1] is not None), (None, None))
             if new is not None:
                 out += [text[done:at], new]
-                done = at = match.end()
+                done = at = at + len(old)
                 counts[kind] = counts.get(kind, 0) + 1
                 break
         else:

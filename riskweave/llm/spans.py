@@ -110,13 +110,16 @@ def remove_repeated_spans(
     """``docs`` without sentences in any run that occurred before, earlier in the same text or in a
     row that comes before; ``n_sentences`` and ``n_removed`` are added (replaced).
 
-    Rows come in order of keys, those with a null key last.  Different texts of one key count against
+    Keys are whole numbers.  Rows come in order of keys, those with a null key last.  Different texts of one key count against
     each other, in order of their hashes, and so do all rows with a null key; only repeated rows, of
     the same key and text, do not.  Null texts stay null, empty ones empty, with no sentences.  Texts
     shorter than a run are kept, however often they occur.
     """
     docs = docs.drop("n_sentences", "n_removed")
-    given = docs.columns
+    given, kinds = docs.columns, [f.dataType for f in docs.schema.fields]
+    # columns go by their place here, whatever their names are
+    key, text = (f"c{[g.lower() for g in given].index(c.lower())}" for c in (key, text))
+    docs = docs.toDF(*[f"c{i}" for i in range(len(given))])
     docs = told_apart(docs, key, text)
     runs = run_table(docs, key, text, rule)
     who = F.struct("id", "row")
@@ -126,8 +129,8 @@ def remove_repeated_spans(
     marks = runs.join(firsts, "h").filter(who > F.col("first")).groupBy("id", "row").agg(F.collect_set("h").alias("marked"))
     same = (F.coalesce(docs[key].cast("long"), F.lit(_NO_ID)) == marks["id"]) & (docs[_ROW] == marks["row"])
     marked = docs.join(marks, same, "left")
-    columns = [docs[c] for c in given]
-    place = given.index(text)
+    columns = [docs[f"c{i}"] for i in range(len(given))]
+    place = int(text[1:])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +164,7 @@ def remove_repeated_spans(
             arrays += [pa.array(sentences, pa.int64()), pa.array(removed, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = StructType([StructField(c, StringType() if c == text else docs.schema[c].dataType) for c in given]
+    schema = StructType([StructField(c, StringType() if i == place else kinds[i]) for i, c in enumerate(given)]
                         + [StructField("n_sentences", LongType()), StructField("n_removed", LongType())])
     names = schema.names
     return marked.select(*columns, "marked").mapInArrow(cut, schema)
