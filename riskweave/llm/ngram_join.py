@@ -35,8 +35,8 @@ CELLS = 1 << 20
 PARTS = 16
 #: Hash ranges whose counts are compared before verification.
 RANGES = 64
-#: In each round so many times more classes of a list are paired with all others, from one on.
-HUB_GROWTH = 64
+#: In each round so many times more classes of a list and size are paired with all others, from one on.
+HUB_GROWTH = 8
 #: Bits of the filter that skips texts not needed for verification: 4 MB.
 FILTER_BITS = 1 << 25
 
@@ -297,8 +297,12 @@ def linked_classes(rows: DataFrame, described: DataFrame, rule: JoinRule) -> Dat
     """(node, label) of the classes that link with others, by rounds; none if no class does."""
     spark, percent = rows.sparkSession, rule.percent
     all_rows = prefixes(rows, rule, levels(described))
-    shared = all_rows.groupBy("g").agg(F.count("*").alias("m")).filter("m > 1").select("g")
-    lists = stored(all_rows.join(shared, "g"))
+    shared = all_rows.groupBy("g").agg(F.count("*").alias("m")).filter("m > 1")
+    lists = all_rows.join(shared, "g")
+    # how many others a class meets over all lists; its rows are bounded by its own prefix
+    lists = stored(lists.withColumn("meets", F.sum(F.col("m") - 1).over(W.partitionBy("cid"))).drop("m"))
+    # classes link only if their sizes lie in the same step or in adjoining ones
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     classes = described.filter("kind = 0").groupBy(F.col("c1").alias("cid")).agg(F.first("data").alias("data"))
     listed = lists.select("cid").distinct()  # only these are ever compared
     classes = stored(classes.join(listed, "cid", "left_semi"))
@@ -314,8 +318,12 @@ def linked_classes(rows: DataFrame, described: DataFrame, rule: JoinRule) -> Dat
         if named.isEmpty():
             return labels
         outside = named.filter("comp <> main")
-        rank = F.row_number().over(W.partitionBy("g").orderBy("cid"))
-        hubs = outside.withColumn("rank", rank).filter(F.col("rank") <= hubs_each).select("g", "cid", "n", "place", "comp")
+        best = [F.desc("meets"), "cid"]
+        outside = outside.withColumn("step", step)
+        outside = outside.withColumn("turn", F.row_number().over(W.partitionBy("g", "step", "comp").orderBy(*best)))
+        rank = F.row_number().over(W.partitionBy("g", "step").orderBy("turn", *best))
+        hubs = outside.filter(F.col("turn") <= hubs_each).withColumn("rank", rank).filter(F.col("rank") <= hubs_each)
+        hubs = hubs.select("g", "cid", "n", "place", "comp")
         x, y = named.alias("x"), hubs.alias("y")
         pairs = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y", percent))
         pairs = pairs.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
@@ -332,7 +340,7 @@ def linked_classes(rows: DataFrame, described: DataFrame, rule: JoinRule) -> Dat
             if not links.isEmpty():
                 merged = connected_components(links)
                 labels = stored(merged if labels is None else _relabelled(labels, merged))
-        lists = stored(named.select("g", "cid", "n", "place").join(hubs.select("g", "cid"), ["g", "cid"], "left_anti"))
+        lists = stored(named.select("g", "cid", "n", "place", "meets").join(hubs.select("g", "cid"), ["g", "cid"], "left_anti"))
         hubs_each *= HUB_GROWTH
 
 
