@@ -31,6 +31,8 @@ from pyspark.sql.types import (
     BinaryType, DataType, LongType, StringType, StructField, StructType,
 )
 
+from .common import slices
+
 #: Words kept with their tokens in one Python worker, and the longest word kept.
 CACHE_WORDS = 500_000
 #: Arcs kept in a worker.
@@ -231,7 +233,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
     little-endian); a null text encodes like an empty one, to no ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             found = [coder.encode(t or "") for t in batch.column(text).to_pylist()]
             yield batch.append_column(ids, pa.array(found, pa.binary()))
 
@@ -257,7 +259,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             counts, coded, plain = [], [], []
             for value in batch.column(text).to_pylist():
                 found = coder.encode(value or "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,9 @@ from ..session import cut_lineage
 
 #: Texts are handed to numpy in chunks of about so many bytes, so that memory does not follow the
 #: size of an Arrow batch; one longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+#: Rows of an Arrow batch whose texts are turned into Python values together.
+SLICE_ROWS = 512
 
 stored = cut_lineage
 
@@ -66,6 +68,14 @@ def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((totals[ends] - totals[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows a few at a time: texts that become Python values then take little memory, even
+    beside others in one executor."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def strings(batch: pa.RecordBatch, name: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, row_key
+from .common import chunks, row_key, slices
 
 Q = 8
 #: Edits allowed as a share of an item's bytes.
@@ -267,7 +267,7 @@ def item_blocks(benchmark: DataFrame, item_key: str, item_text: str, rate: float
 def _search(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value.index()
-        for batch in batches:
+        for batch in slices(batches):
             ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             texts = [plain(t) if t else b"" for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):

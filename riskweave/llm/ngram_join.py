@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, chunks, mix, powers, row_key, span_hashes, stored
+from .common import CHUNK_BYTES, chunks, mix, powers, row_key, slices, span_hashes, stored
 from .graph import connected_components
 
 #: Cells of the table of n-gram counts; n-grams that share a cell share its count.
@@ -134,7 +134,7 @@ def describe(rows: DataFrame, rule: JoinRule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "part", "row", "n", "c1", "c2", "data"]
         counts = np.zeros(CELLS, dtype=np.uint32)
-        for batch in batches:
+        for batch in slices(batches):
             ids, hashes = batch.column(0), batch.column(2)
             for a, b, at, gram in _sets(batch.column(1).to_pylist(), rule.words):
                 counts += np.bincount(_cells(gram), minlength=CELLS).astype(np.uint32)
@@ -184,7 +184,7 @@ def prefixes(rows: DataFrame, rule: JoinRule, level: np.ndarray) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(level)  # CELLS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for a, b, at, gram in _sets(batch.column(1).to_pylist(), rule.words):
                 n = np.diff(at)
                 owner = np.repeat(np.arange(b - a), n)
@@ -256,7 +256,7 @@ def _whole_sets(rows: DataFrame, described: DataFrame, pairs: DataFrame, rule: J
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spots = batch.column(2).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array((sent.value[spots >> 3] >> (spots & 7).astype(np.uint8) & 1).astype(bool)))
             for a, b, at, gram in _sets(batch.column(1).to_pylist(), rule.words):

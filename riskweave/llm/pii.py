@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
+from .common import slices
+
 ROUNDS = 8
 
 
@@ -288,7 +290,7 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [(None, {}) if t is None else pseudonymize_text(t, key) for t in batch.column(place).to_pylist()]
             arrays = list(batch.columns)
             arrays[place] = pa.array([t for t, _ in found], pa.string())

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .common import CHUNK_BYTES, chunks, span_hashes
+from .common import CHUNK_BYTES, chunks, slices, span_hashes
 
 #: Cells that words are hashed into.
 CELLS = 1 << 16
@@ -188,7 +188,7 @@ def grade(docs: DataFrame, model: OrdinalModel, text: str = "text", wanted: int
     docs = docs.drop("expected_grade", "p_wanted", "selected")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = batch.column(text).to_pylist()
             coded = [v.encode("utf-8") if v else b"" for v in values]
             for a, b in chunks(coded):
