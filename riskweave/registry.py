@@ -272,10 +272,15 @@ named("stored_attribution_summary", lambda s, sf: explain.attribution_summary(_s
 
 # ---------------------------------------------------------------- trained models
 
+#: The queries that need trained models.
+TRAINED = (
+    "model_comparison", "best_model", "predictions", "feature_importance_top20",
+    "attributions", "attribution_summary", "drill_through",
+)
 _trained: dict[tuple[str, str], model.Prepared] = {}
 
 
-def _prepared(spark: SparkSession, sf: str) -> model.Prepared:
+def trained(spark: SparkSession, sf: str) -> model.Prepared:
     """Both candidates, trained once per session and data set with the whole configuration."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
@@ -286,7 +291,7 @@ def _prepared(spark: SparkSession, sf: str) -> model.Prepared:
 
 
 def _scored(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    ready = _prepared(spark, sf)
+    ready = trained(spark, sf)
     return {name: model.score(m, ready.validation) for name, m in ready.fitted.items()}
 
 
@@ -301,7 +306,7 @@ def best_model(spark, sf):
 
 
 def _best(spark: SparkSession, sf: str) -> model.Fitted:
-    return _prepared(spark, sf).fitted[best_model(spark, sf).first()["model"]]
+    return trained(spark, sf).fitted[best_model(spark, sf).first()["model"]]
 
 
 @query
@@ -319,11 +324,11 @@ def feature_importance_top20(spark, sf):
 
 @query
 def attributions(spark, sf):
-    return explain.attribute(_prepared(spark, sf).validation, _best(spark, sf).trees)
+    return explain.attribute(trained(spark, sf).validation, _best(spark, sf).trees)
 
 
 def _attribution_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.attribution_rows(attributions(spark, sf), _prepared(spark, sf).features)
+    return explain.attribution_rows(attributions(spark, sf), trained(spark, sf).features)
 
 
 @query
@@ -334,7 +339,7 @@ def attribution_summary(spark, sf):
 @query
 def drill_through(spark, sf):
     """Drivers of the highest-scored transaction."""
-    ready, best = _prepared(spark, sf), _best(spark, sf)
+    ready, best = trained(spark, sf), _best(spark, sf)
     scored = model.score(best, ready.validation)
     case = scored.orderBy(F.desc("score"), S.KEY).select(S.KEY).first()[0]
     explained = explain.attribute(ready.validation.filter(F.col(S.KEY) == case), best.trees)

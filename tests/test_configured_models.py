@@ -13,7 +13,7 @@ def test_registered_queries_train_the_configured_models(spark, monkeypatch):
     monkeypatch.setattr(model, "prepare", lambda _: model.Prepared([], None, None, None, None))
     monkeypatch.setattr(model, "fit_boosted", lambda _, growth, parts: seen.setdefault("boosted", growth))
     monkeypatch.setattr(model, "fit_leafwise", lambda _, growth, parts: seen.setdefault("leafwise", growth))
-    registry._prepared(spark, "any")
+    registry.trained(spark, "any")
     assert seen == {"boosted": model.BOOSTING, "leafwise": model.LEAFWISE}
     boosted, leafwise = model.BOOSTING, model.LEAFWISE
     assert (boosted.rounds, boosted.depth, boosted.rate, boosted.rows, boosted.columns) == (1000, 8, 0.05, 0.8, 0.4)
