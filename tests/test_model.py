@@ -127,6 +127,18 @@ def test_explaining_many_deep_trees_is_quick():
     assert time.perf_counter() - start < 30
 
 
+def test_rows_look_up_what_their_leaves_contribute(monkeypatch):
+    """Each way the bounds of a leaf can hold is worked out once, not once a row."""
+    rng, worked = np.random.default_rng(6), []
+    trees = [explain.tree_leaves(random_tree(rng, depth, 9)) for depth in (0, 2, 5)]
+    x = rng.normal(size=(700, 9)).round(1)
+    by_row = np.concatenate([explain.shapley_values(row[None], trees) for row in x])
+    own = explain._leaf_parts
+    monkeypatch.setattr(explain, "_leaf_parts", lambda leaves, met: worked.append(met.size) or own(leaves, met))
+    assert explain.shapley_values(x, trees) == pytest.approx(by_row, abs=1e-12)
+    assert sum(worked) == sum(t.feature.size << t.feature.shape[1] for t in trees)
+
+
 def test_encoding_and_storage(spark, ready):
     df = spark.createDataFrame([("b", "x"), ("a", None), ("c", "y"), ("a", "x")], "k string, l string").repartition(3)
     encoded, codes = model.label_encode(df, ["k", "l"])
