@@ -8,7 +8,8 @@ All rows of one key and day share one answer.  The ``daily`` strategy therefore
 that holds a third of all rows is then a few hundred rows, not one giant window partition.  The
 answers go back to the rows by an equi-join whose small side has one row per (key, day), which
 the optimizer may broadcast when it proves small and which adaptive execution splits when one
-(key, day) is oversized.  The ``window`` strategy is the plain frame over all rows.
+(key, day) is oversized.  The ``window`` strategy is the plain frame over all rows, of which the
+window holds no more than key, day and amount.
 
 Keys and days are matched null-safe: rows without a key form a group of their own.
 """
@@ -72,6 +73,20 @@ def daily_lookup(df: DataFrame, key: str, frames: dict[str, tuple[str, int]], da
     )
 
 
+def direct_lookup(df: DataFrame, key: str, frames: dict[str, tuple[str, int]], day: str = S.DAY,
+                  amount: str = S.AMOUNT, strict: bool = False) -> DataFrame:
+    """:func:`daily_lookup` by plain frames over all rows.
+
+    A window keeps all rows of its key, so it is given the columns it needs and nothing else."""
+    needs_amount = any(kind != "count" for kind, _ in frames.values())
+    rows = df.select(key, day, *([amount] if needs_amount else []))
+    answers = [_framed_rows(kind, day_frame(key, day, days, strict), amount).alias(n) for n, (kind, days) in frames.items()]
+    return rows.select(key, day, *answers).distinct()
+
+
+LOOKUPS = {"daily": daily_lookup, "window": direct_lookup}
+
+
 def rolling(
     df: DataFrame,
     key: str,
@@ -83,13 +98,10 @@ def rolling(
     strict: bool = False,
 ) -> DataFrame:
     """``df`` plus one column per ``aggs`` entry ``{name: count | sum | avg}`` over the frame."""
-    if strategy == "window":
-        frame = day_frame(key, day, days, strict)
-        return df.withColumns({n: _framed_rows(kind, frame, amount) for n, kind in aggs.items()})
-    if strategy != "daily":
+    if strategy not in LOOKUPS:
         raise ValueError(f"unknown rolling strategy {strategy!r}")
     frames = {n: (kind, days) for n, kind in aggs.items()}
-    return attach(df, daily_lookup(df, key, frames, day, amount, strict), [key, day])
+    return attach(df, LOOKUPS[strategy](df, key, frames, day, amount, strict), [key, day])
 
 
 #: Velocity columns by key: ``{column: (aggregate, days)}``.
@@ -112,28 +124,24 @@ def velocity(
 ) -> DataFrame:
     """Card, e-mail and customer velocity over 7 and 30 days.
 
-    ``daily`` answers every distinct (card, customer, e-mail, day) on a narrow table first and
-    then joins that to the wide rows, which are shuffled once instead of once per key.
+    Every distinct (card, customer, e-mail, day) is answered on a narrow table first and then joined
+    to the wide rows, which are shuffled once instead of once per key.
 
     ``source`` may name a cheaper table with the same transactions, such as the staged
-    transactions before they were joined: totals then come from a scan of five columns.
+    transactions before they were joined: totals then come from a scan of five columns.  The
+    ``window`` strategy reads ``df`` itself.
     """
     def with_uid(t: DataFrame) -> DataFrame:
         return t.withColumn("uid", X.uid(F.col("card1"), F.col("addr1_clean")))
 
     out = with_uid(df)
-    if strategy == "window":
-        for key, frames in VELOCITY_FRAMES.items():
-            for name, (kind, days) in frames.items():
-                out = rolling(out, key, days, {name: kind}, strategy="window", strict=strict)
-    elif strategy == "daily":
-        narrow = out if source is None else with_uid(source)
-        profile = [*VELOCITY_FRAMES, S.DAY]
-        answers = narrow.select(*profile).distinct()
-        for key, frames in VELOCITY_FRAMES.items():
-            answers = attach(answers, daily_lookup(narrow, key, frames, strict=strict), [key, S.DAY])
-        out = attach(out, answers, profile)
-    else:
+    if strategy not in LOOKUPS:
         raise ValueError(f"unknown rolling strategy {strategy!r}")
+    narrow = out if source is None or strategy == "window" else with_uid(source)
+    profile = [*VELOCITY_FRAMES, S.DAY]
+    answers = narrow.select(*profile).distinct()
+    for key, frames in VELOCITY_FRAMES.items():
+        answers = attach(answers, LOOKUPS[strategy](narrow, key, frames, strict=strict), [key, S.DAY])
+    out = attach(out, answers, profile)
     ratio = X.amount_ratio(F.col(S.AMOUNT), F.col("card1_avg_amt_30d"))
     return out.withColumn("amt_to_card_avg_ratio", ratio)

@@ -50,3 +50,19 @@ def test_unknown_names_are_refused(spark):
         rolling(df, "card1", 7, {"n": "count"}, strategy="other")
     with pytest.raises(ValueError):
         rolling(df, "card1", 7, {"n": "mode"})
+
+
+def test_direct_frames_hold_narrow_rows(spark):
+    """What a window keeps does not grow with the other columns of a row."""
+    wide = frame(spark, [(1, 1, 5.0), (1, 3, 6.0), (None, 3, None)]).selectExpr("*", *[f"'text {k}' AS c{k}" for k in range(30)])
+    out = rolling(wide, "card1", 7, {"n": "count", "total": "sum"}, strategy="window")
+    assert sorted((r[S.DAY], r["c7"], r["n"], r["total"]) for r in out.collect() if r["card1"]) == [(1, "text 7", 1, 5.0), (3, "text 7", 2, 11.0)]
+    assert [(r["n"], r["total"]) for r in out.collect() if r["card1"] is None] == [(1, None)]
+    plan = out._jdf.queryExecution().optimizedPlan()
+    windows, stack = [], [plan]
+    while stack:
+        node = stack.pop()
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Window":
+            windows.append(node.children().apply(0).output().size())
+    assert windows and max(windows) <= 4  # key, day, amount and its decimal
