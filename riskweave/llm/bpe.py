@@ -33,10 +33,10 @@ from pyspark.sql.types import (
 
 from .common import slices
 
-#: Words kept with their tokens in one Python worker, and the longest word kept.
-CACHE_WORDS = 500_000
-#: Arcs kept in a worker.
-CACHE_ARCS = 1_000_000
+#: Words kept with their tokens in one Python worker, twice as many at most, and the longest word kept.
+CACHE_WORDS = 60_000
+#: Arcs kept in a worker, twice as many at most.
+CACHE_ARCS = 60_000
 CACHE_WORD_LENGTH = 48
 
 
@@ -208,15 +208,19 @@ class WordTokenizer:
 
 
 class _Known(dict):
-    """Results by key, of at most ``limit`` keys: emptied when full, so that memory stays bounded."""
+    """Results by key, twice ``limit`` keys at most: when ``limit`` is reached, what was asked for since
+    the last time is kept beside, and taken over again when it is asked for."""
 
     def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.before = make, limit, {}
 
     def __missing__(self, key):
-        found = self.make(key)
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
         if not isinstance(key, str) or len(key) <= CACHE_WORD_LENGTH:
             if len(self) >= self.limit:
+                self.before = dict(self)
                 self.clear()
             self[key] = found
         return found
