@@ -165,3 +165,12 @@ def test_maximal_conversations(spark):
     assert {k: (r["n_turns"], r["n_copies"]) for k, r in found.items()} == {3: (3, 2), 5: (2, 1), 6: (1, 1), None: (2, 1), 7: (1, 1)}
     assert found[5]["rendered"] == "<|im_start|>assistant\nyes < |im_end|><|im_end|>\n<|im_start|>user\nhi<|im_end|>\n"
     assert chat.collapse_and_render(turns.limit(0)).count() == 0
+
+
+def test_kept_words_are_bounded_and_the_latest_stay():
+    made = []
+    known = bpe._Known(lambda key: made.append(key) or key.upper(), 10)
+    for k in range(200):
+        assert known["often"] == "OFTEN" and known[f"w{k}"] == f"W{k}"
+        assert len(known) + len(known.before) <= 20
+    assert made.count("often") == 1 and len(made) == 201
