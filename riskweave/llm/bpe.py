@@ -34,10 +34,12 @@ from pyspark.sql.types import (
 from .common import slices
 
 #: Words kept with their tokens in one Python worker, twice as many at most, and the longest word kept.
-CACHE_WORDS = 60_000
+CACHE_WORDS = 120_000
 #: Arcs kept in a worker, twice as many at most.
 CACHE_ARCS = 60_000
 CACHE_WORD_LENGTH = 48
+#: Symbols that tell how long a token may be.
+HEAD = 4
 
 
 def byte_symbols() -> list[str]:
@@ -59,12 +61,14 @@ class Automaton:
             self.labels[i] = token
         self.left, self.born = [-1] * size, [0] * size
         self._compile([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges])
-        #: every start of a token's symbols, with the id of the token that it is, or -1
-        self.starts: dict[str, int] = {}
+        #: the length of the longest token, without its end, that begins with these HEAD symbols
+        self.reach: dict[str, int] = {}
         for token in self.ids:
             body = token.removesuffix(end)
-            for k in range(1, len(body) + 1):
-                self.starts.setdefault(body[:k], self.ids.get(body[:k], -1))
+            if len(body) >= HEAD:
+                self.reach[body[:HEAD]] = max(len(body), self.reach.get(body[:HEAD], 0))
+        #: symbols that any place of a word may hold
+        self.base = {s for s in self.ids if len(s) == 1 and s + end in self.ids}
         #: the arcs asked for so far, by state and token
         self.arcs = _Known(lambda at: self.allows(*divmod(at, size)), CACHE_ARCS)
 
@@ -126,6 +130,8 @@ class Automaton:
         Symbols outside the vocabulary yield nothing, and no token spans them.
         """
         n, ids, end = len(symbols), self.ids, self.end
+        if self.base.issuperset(symbols):
+            return self._path(symbols, end)
         if unknown := [i for i, s in enumerate(symbols) if (s + end if i == n - 1 else s) not in ids]:
             out, start = [], 0
             for i in [*unknown, n]:
@@ -135,26 +141,32 @@ class Automaton:
         return self._path(symbols, end)
 
     def _path(self, symbols: str, end: str) -> list[int]:
-        n, starts, arcs, size = len(symbols), self.starts, self.arcs, len(self.labels)
-        state, origin, arc = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-        state[0] = 0
-        for i in range(n):
-            here = state[i]
-            if here < 0:
+        """The path that spells ``symbols``, longest arcs tried first.
+
+        One accepted path only leads to a place, so a place that none leads on from is left for good.
+        """
+        n, ids, arcs, size, target = len(symbols), self.ids, self.arcs, len(self.labels), self.target
+        reach, path, begun, left = self.reach, [], [], set()
+        at, here = 0, 0
+        j = reach.get(symbols[:HEAD], HEAD - 1)
+        while at < n:
+            if j >= n:
+                j, token = n, ids.get(symbols[at:] + end, -1)
+            else:
+                token = ids.get(symbols[at:j], -1)
+            if token >= 0 and j not in left and arcs[here + token]:
+                path.append(token)
+                begun.append(at)
+                at, here = j, target[token] * size
+                j += reach.get(symbols[j : j + HEAD], HEAD - 1)
                 continue
-            for j in range(i + 1, n + 1):
-                token = starts.get(symbols[i:j])
-                if token is None:
-                    break
-                if j == n and end:
-                    token = self.ids.get(symbols[i:] + end, -1)
-                if token >= 0 and state[j] < 0 and arcs[here * size + token]:
-                    state[j], origin[j], arc[j] = self.target[token], i, token
-        path, j = [], n
-        while j:
-            path.append(arc[j])
-            j = origin[j]
-        return path[::-1]
+            j -= 1
+            while j == at:
+                left.add(at)
+                j, at = at - 1, begun.pop()
+                path.pop()
+                here = target[path[-1]] * size if path else 0
+        return path
 
 
 class WordTokenizer:
@@ -182,7 +194,9 @@ class WordTokenizer:
         self.known = _Known(self._word, CACHE_WORDS)
 
     def _word(self, word: str) -> bytes:
-        symbols = "".join([self.symbols[b] for b in word.encode("utf-8")])
+        # letters of ASCII are their own symbols
+        plain = word.isascii() and word.isalpha()
+        symbols = word if plain else "".join([self.symbols[b] for b in word.encode("utf-8")])
         ids = self.automaton.encode(symbols)
         return struct.pack(f"<{len(ids)}I", *ids)
 

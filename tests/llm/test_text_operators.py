@@ -174,3 +174,36 @@ def test_kept_words_are_bounded_and_the_latest_stay():
         assert known["often"] == "OFTEN" and known[f"w{k}"] == f"W{k}"
         assert len(known) + len(known.before) <= 20
     assert made.count("often") == 1 and len(made) == 201
+
+
+def test_words_cost_few_arcs(reference):
+    """Longest arcs are tried first, and not every token that fits somewhere in a word."""
+    rng = np.random.default_rng(9)
+    parts = ["the", "tion", "er", "ing", "an", "wh", "ou", "é", "ñ", "q", "straße", "7", "的"]
+    words = ["".join(rng.choice(parts, rng.integers(1, 7))) for _ in range(400)]
+    coder, asked = bpe.WordTokenizer(tokenizer_file()), []
+    allows = coder.automaton.allows
+
+    class Counted(dict):
+        def __getitem__(self, at):
+            asked.append(at)
+            return allows(*divmod(at, len(coder.automaton.labels)))
+
+    coder.automaton.arcs = Counted()
+    tokens = 0
+    for word in words:
+        found = coder.encode(word)
+        expected = reference.encode(word, add_special_tokens=False).ids
+        assert list(struct.unpack(f"<{len(found) // 4}I", found)) == expected
+        tokens += len(expected)
+    assert len(asked) < 1.25 * tokens
+
+
+def test_words_of_a_large_vocabulary_are_coded_once():
+    """100,000 different words, as a task meets them, each seen twice."""
+    coder, made = bpe.WordTokenizer(tokenizer_file()), []
+    own = coder.known.make
+    coder.known.make = lambda word: made.append(word) or own(word)
+    names = ["".join("etaoinshrd"[int(d)] for d in str(k)) for k in range(100_000)]
+    first = coder.encode(" ".join(names))
+    assert coder.encode(" ".join(names)) == first and sorted(made) == sorted(names)
