@@ -4,6 +4,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import islice
 
 import pytest
 
@@ -160,8 +161,8 @@ def brute_spans(rows, rule):
         fits = lambda a, b: b - a >= rule.sentences and sum(size[a:b]) >= rule.words
         out = {(a, a + 1) for a in range(len(parts)) if size[a] >= rule.single}
         for i in range(len(parts)):
-            out |= set([(i, b) for b in range(i, len(parts) + 1) if fits(i, b)][:1])
-            out |= set([(a, i + 1) for a in range(i, -1, -1) if fits(a, i + 1)][:1])
+            out |= set(islice(((i, b) for b in range(i, len(parts) + 1) if fits(i, b)), 1))
+            out |= set(islice(((a, i + 1) for a in range(i, -1, -1) if fits(a, i + 1)), 1))
         return parts, [(a, b, tuple(parts[a:b])) for a, b in sorted(out)]
 
     order = lambda k: (k is None, k or 0)
