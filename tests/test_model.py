@@ -162,3 +162,16 @@ def test_weights(spark):
     assert {tuple(r) for r in weights.distinct().collect()} == {(0, 1.0, 4 / 6), (1, 3.0, 2.0)}
     filled = model.sentinel_fill(spark.sql("SELECT CAST(NULL AS INT) AS a, CAST(NULL AS STRING) AS b, '-999' AS c")).first()
     assert tuple(filled) == (-999, "unknown", "unknown")
+
+
+def test_short_dictionaries_are_looked_up_without_a_join(spark, monkeypatch):
+    df = spark.sql("SELECT * FROM VALUES ('b', 'y', 1), ('a', 'x', 2), (NULL, NULL, 3), ('b', 'z', 4), ('c', 'x', 5) AS t(k, l, n)")
+    codes = model.dictionary(df.filter("n < 5"), ["k", "l"])
+    found = model.encode(df, codes, ["k", "l"])
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = [("b", "y", 1, 1, 1), ("a", "x", 2, 0, 0), (None, None, 3, 2, 3), ("b", "z", 4, 1, 2), ("c", "x", 5, 2, 0)]
+    for listed in (64, 2, 0):  # all listed, one listed and one joined, all joined
+        monkeypatch.setattr(model, "LISTED", listed)
+        again = model.encode(df, codes, ["k", "l"])
+        assert again.columns == ["k", "l", "n", "k_code", "l_code"] and again.dtypes == found.dtypes
+        assert sorted(map(tuple, again.collect()), key=lambda r: r[2]) == rows
